@@ -1,0 +1 @@
+"""Left empty on purpose: every load is a scheduled whole-table batch, so no stream exists to build."""
