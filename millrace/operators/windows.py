@@ -36,7 +36,9 @@ def with_global_index(df: DataFrame, leading: Sequence[str], tie_keys: Sequence[
     bucket = [*leading, "_slice"]
     sliced = with_tie_digest(df, tie_keys)
     counts = sliced.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_rows"))
-    running = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    # Missing leading values come last, as the source queries order them.
+    in_order = [F.col(c).asc_nulls_last() for c in leading]
+    running = Window.orderBy(*in_order, "_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *[F.col(c).alias(f"_o{c}") for c in bucket],
         F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"),
@@ -81,7 +83,9 @@ def sequential_window(
     return result.where(F.col("_block") == home).drop(*_INTERNAL)
 
 
-def carry_forward(value: Column | str, partition: Sequence[str], order: Sequence[str]) -> Column:
+def carry_forward(
+    value: Column | str, partition: Sequence[str], order: Sequence[Column | str]
+) -> Column:
     """The last known value at or before each row, for a partition whose order has no ties."""
     frame = (
         Window.partitionBy(*partition)
@@ -97,12 +101,12 @@ def carry_forward_by_island(
     """As :func:`carry_forward`, but rows that tie on ``order`` share their island, in two windows.
 
     The island id is a running count over a RANGE frame, so peers see each other's values; inside an
-    island the first row by ``order`` wins, nulls first among peers.
+    island the first row by ``order`` wins, among peers the smallest known value.
     """
-    running = Window.partitionBy(*partition).orderBy(order)
+    running = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_last())
     islands = df.withColumn("_island", F.sum(F.when(F.col(value).isNotNull(), 1)).over(running))
     inside = Window.partitionBy("_island", *partition).orderBy(
-        order, F.col(value).isNotNull(), F.col(value)
+        F.col(order).asc_nulls_last(), F.col(value).asc_nulls_last()
     )
     return islands.withColumn(
         name, F.first(value).over(inside.rowsBetween(Window.unboundedPreceding, 0))

@@ -45,10 +45,13 @@ class TableStore:
             added = sorted(set(new) - set(old))
             raise SchemaMismatch(f"{schema}.{table}: missing {missing}, unexpected {added}")
 
-    def _new_version(self, schema: str, table: str) -> str:
-        return f"{self.root}/{schema}/{table}/v-{uuid.uuid4().hex}"
+    def write_version(self, schema: str, table: str, df: DataFrame) -> str:
+        """Writes the rows to a new folder that no table points at yet."""
+        path = f"{self.root}/{schema}/{table}/v-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return path
 
-    def _point_at(self, schema: str, table: str, path: str) -> None:
+    def point_at(self, schema: str, table: str, path: str) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         if self.exists(schema, table):
             self.spark.sql(f"ALTER TABLE `{schema}`.`{table}` SET LOCATION '{path}'")
@@ -63,23 +66,22 @@ class TableStore:
 
     def overwrite(self, schema: str, table: str, df: DataFrame, frozen: bool = False) -> DataFrame:
         """Replaces the contents. ``frozen`` keeps the columns of the first load and rejects others."""
+        changed = False
         if self.exists(schema, table):
             if frozen:
                 self.check_schema(schema, table, df)
                 df = df.select(*self.read(schema, table).columns)
-            elif columns_of(self.read(schema, table)) != columns_of(df):
-                self.spark.sql(f"DROP TABLE `{schema}`.`{table}`")
-        path = self._new_version(schema, table)
-        df.write.parquet(path)
-        self._point_at(schema, table, path)
+            changed = columns_of(self.read(schema, table)) != columns_of(df)
+        path = self.write_version(schema, table, df)
+        if changed:
+            self.spark.sql(f"DROP TABLE `{schema}`.`{table}`")
+        self.point_at(schema, table, path)
         return self.read(schema, table)
 
     def append(self, schema: str, table: str, df: DataFrame) -> DataFrame:
         """Adds rows to a table that only grows, such as the run log."""
         if not self.exists(schema, table):
-            path = self._new_version(schema, table)
-            df.limit(0).write.parquet(path)
-            self._point_at(schema, table, path)
+            self.point_at(schema, table, self.write_version(schema, table, df.limit(0)))
         self.check_schema(schema, table, df)
         df.select(*self.read(schema, table).columns).write.insertInto(f"{schema}.{table}")
         return self.read(schema, table)
