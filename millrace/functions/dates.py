@@ -113,7 +113,7 @@ def age_in_years(end: Column | str | dt.date, start: Column | str | dt.date) ->
 
 
 def seconds_between(end: Column | str, start: Column | str) -> Column:
-    return F.timestamp_diff("SECOND", as_column(start), as_column(end))
+    return F.timestamp_diff("MICROSECOND", as_column(start), as_column(end)) / 1_000_000
 
 
 def rejected_texts(df, key: str, parsers: dict[str, object]):

@@ -13,13 +13,16 @@ FIRST_DAY = dt.date(2000, 1, 1)
 LAST_DAY = dt.date(2099, 12, 31)
 
 
-def time_series(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY) -> DataFrame:
-    """One row per day: time_id, date, year, month, month_name, quarter, is_month_end."""
-    days = spark.range(1, numPartitions=1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))).alias("date")
+def time_series_of(bounds: DataFrame) -> DataFrame:
+    """One row per day from ``first`` to ``last`` of the single row of ``bounds``.
+
+    Columns: time_id, date, year, month, month_name, quarter, is_month_end.
+    """
+    days = bounds.select(
+        "first", F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date")
     )
     return days.select(
-        (F.datediff("date", F.lit(first)) + 1).alias("time_id"),
+        (F.datediff("date", "first") + 1).alias("time_id"),
         "date",
         F.year("date").alias("year"),
         F.month("date").alias("month"),
@@ -29,6 +32,13 @@ def time_series(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date =
     )
 
 
+def time_series(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY) -> DataFrame:
+    """The stored day spine."""
+    return time_series_of(
+        spark.range(1, numPartitions=1).select(F.lit(first).alias("first"), F.lit(last).alias("last"))
+    )
+
+
 def month_spine(spark: SparkSession, as_of: dt.date, years: int = 5) -> DataFrame:
     """``month_year`` texts from December ``years`` ago to December of the year of ``as_of``."""
     return spark.range(1, numPartitions=1).select(

@@ -67,11 +67,11 @@ def repeatable_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
 def expired_objects(objects: DataFrame, as_of: dt.date, keep_days: int = 1) -> DataFrame:
     """Objects whose first 8-digit date lies before the kept days; undated and misdated ones are kept."""
     digits = F.regexp_extract("object_name", r"(\d{8})", 1)
-    # Text without eight digits extracts as '', which is no date either.
+    # No match extracts as '', and there is no year 0.
     day = F.concat_ws(
         "-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
     ).try_cast("date")
-    dated = objects.withColumn("object_date", F.when(digits != "", day))
+    dated = objects.withColumn("object_date", F.when(~digits.startswith("0000"), day))
     return dated.where(F.col("object_date") < F.date_sub(F.lit(as_of), keep_days))
 
 

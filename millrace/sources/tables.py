@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 class SchemaMismatch(Exception):
@@ -64,6 +64,25 @@ class TableStore:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         self.spark.sql(f"CREATE TABLE `{schema}`.`{table}` USING parquet LOCATION '{path}'")
 
+    def location(self, schema: str, table: str) -> str:
+        """The folder the table points at now."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED `{schema}`.`{table}`").where("col_name = 'Location'")
+        return rows.first()["data_type"]
+
+    def sync(self, schema: str, listing: DataFrame) -> list[str]:
+        """Registers the listed parquet folders (``table_name``, ``location``) that have no table yet.
+
+        Tables that exist are left alone, even if their columns changed. Only names of missing tables come
+        to the driver, where table definitions are made anyway.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        present = self.spark.sql(f"SHOW TABLES IN `{schema}`").select(F.col("tableName").alias("table_name"))
+        added = []
+        for row in listing.join(present, "table_name", "left_anti").toLocalIterator():
+            self.register(schema, row["table_name"], row["location"])
+            added.append(row["table_name"])
+        return added
+
     def overwrite(self, schema: str, table: str, df: DataFrame, frozen: bool = False) -> DataFrame:
         """Replaces the contents. ``frozen`` keeps the columns of the first load and rejects others."""
         changed = False
