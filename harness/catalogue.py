@@ -35,6 +35,8 @@ DELIVERY = replace(HR, as_of=dt.date(2001, 12, 31), calendar_start=dt.date(1995,
 REFERENCE = replace(DELIVERY, mode="reference")
 # Work logged from here on is missing in the older of two compared view versions.
 OLD_VIEW_CUTOFF = dt.datetime(2001, 7, 1)
+FUTURE_FROM = dt.date(1995, 3, 1)
+SOME_MEMBER = "101"
 VALUE_TABLE = "dwh.project_profit_loss"
 
 VIEWS = views(SparkDialect())
@@ -685,10 +687,10 @@ query("x18_members_of_pods")(
     )
 )
 query("x19_future_projects", digits={"project_bill": 2})(
-    lambda table, p: analyses.future_projects(table("dwh.projects"), dt.date(1999, 1, 1))
+    lambda table, p: analyses.future_projects(table("dwh.projects"), FUTURE_FROM)
 )
 scan_query("x20_log_of_target")(
     lambda spark, read: analyses.log_of_target(job_log(read("events")), "stg_click")
 )
 scan_query("x20_log_successes")(lambda spark, read: analyses.log_with_status(job_log(read("events"))))
-query("x21_member")(lambda table, p: analyses.member(table("jira.dim_members"), "42"))
+query("x21_member")(lambda table, p: analyses.member(table("jira.dim_members"), SOME_MEMBER))
