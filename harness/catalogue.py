@@ -36,11 +36,22 @@ REFERENCE = replace(DELIVERY, mode="reference")
 # Work logged from here on is missing in the older of two compared view versions.
 OLD_VIEW_CUTOFF = dt.datetime(2001, 7, 1)
 FUTURE_FROM = dt.date(1995, 3, 1)
-SOME_MEMBER = "101"
+SOME_MEMBER = "27"
 VALUE_TABLE = "dwh.project_profit_loss"
 
 VIEWS = views(SparkDialect())
 
+PROJECT_DIGITS = {"project_bill": 2, "project_value": 2, "team_size": 0}
+EMPLOYEE_DIGITS = {
+    "total_absence": 4,
+    "tenure_years": 1,
+    "engagement_score": 2,
+    "emp_age": 0,
+    "emp_salary": 0,
+}
+CHANGE_DIGITS = {"previous_count": 0, "absolute_change": 0}
+AGE_DIGITS = {"years": 0, "months": 0, "days": 0}
+
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,7 +84,10 @@ def workspace(spark: SparkSession, sf_dir: str, p: Params) -> Workspace:
 
 
 def present(df: DataFrame, digits: Mapping[str, int] | None = None) -> DataFrame:
-    """Dates as ISO text, decimals as doubles and long fractions rounded, so that engines compare alike."""
+    """Dates as ISO text, decimals as doubles and long fractions rounded, so that engines compare alike.
+
+    Whole numbers that may be missing are listed with 0 digits: some clients read them as doubles anyway.
+    """
     columns = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
@@ -381,17 +395,17 @@ for _key, _name in (
     ("w17", "user_positions"),
     ("w18", "users"),
 ):
-    model_query(_key, f"dwh.{_name}", digits={"project_bill": 2})
+    model_query(_key, f"dwh.{_name}", digits=PROJECT_DIGITS)
 
 model_query("h1", "hr.dim_branches")
 model_query("h2", "hr.dim_departments")
 model_query("h3", "hr.dim_positions")
 model_query("h4", "hr.dim_month_year")
-model_query("h5", "hr.fct_hrm_employees", digits={"total_absence": 4, "tenure_years": 1, "engagement_score": 2})
+model_query("h5", "hr.fct_hrm_employees", digits=EMPLOYEE_DIGITS)
 model_query("d1", "jira.dim_jira_issues")
 model_query("d2", "jira.dim_members")
 model_query("d3", "jira.dim_pods")
-model_query("d4", "jira.dim_projects", digits={"project_bill": 2, "project_value": 2})
+model_query("d4", "jira.dim_projects", digits=PROJECT_DIGITS)
 model_query("d5", "jira.dim_time_series")
 model_query("d6", "jira.fct_pod_member_efforts")
 model_query("d7", "jira.fct_project_members")
@@ -513,7 +527,7 @@ def _(table, p):
     )
 
 
-@query("f10_age_years")
+@query("f10_age_years", digits=AGE_DIGITS)
 def _(table, p):
     age = dates.age_parts(F.lit(p.as_of), F.col("birthday"))
     return table("dwh.users").select(
@@ -593,7 +607,7 @@ def _(table, p):
 # Analyses ------------------------------------------------------------------------------------------
 
 for _by in ("group", "total", "sequence"):
-    query("x1_headcount_change" if _by == "group" else f"x1_headcount_{_by}")(
+    query("x1_headcount_change" if _by == "group" else f"x1_headcount_{_by}", digits=CHANGE_DIGITS)(
         lambda table, p, by=_by: analyses.headcount_change(table("dwh.time_series"), table("dwh.users"), p, by)
     )
 
@@ -602,10 +616,10 @@ def _headcount_facts(table, p) -> DataFrame:
     return analyses.headcount_facts(table("dwh.time_series"), table("dwh.users"), p)
 
 
-query("x2_projects_with_value", digits={"project_bill": 2, "project_value": 2})(
+query("x2_projects_with_value", digits=PROJECT_DIGITS)(
     lambda table, p: analyses.projects_having_value(table("jira.dim_projects"))
 )
-query("x3_strict_project_value", digits={"project_value": 2})(
+query("x3_strict_project_value", digits=PROJECT_DIGITS)(
     lambda table, p: analyses.strict_project_value(table("dwh.projects"), table(VALUE_TABLE))
 )
 query("x4_yearly_headcount")(lambda table, p: analyses.yearly_headcount(_headcount_facts(table, p)))
@@ -636,7 +650,7 @@ query("x9_users_with_attendance")(
         table("src_create.stg_users"), table("src_create.stg_staff_attendances")
     )
 )
-query("x10_facts_with_absence", digits={"total_absence": 4, "tenure_years": 1, "engagement_score": 2})(
+query("x10_facts_with_absence", digits=EMPLOYEE_DIGITS)(
     lambda table, p: analyses.facts_with_absence(table("hr.fct_hrm_employees"))
 )
 query("x10_users_without_start")(lambda table, p: analyses.users_without_start(table("dwh.users")))
@@ -686,7 +700,7 @@ query("x18_members_of_pods")(
         table("src_create.stg_project_members"), table("src_create.stg_pods")
     )
 )
-query("x19_future_projects", digits={"project_bill": 2})(
+query("x19_future_projects", digits=PROJECT_DIGITS)(
     lambda table, p: analyses.future_projects(table("dwh.projects"), FUTURE_FROM)
 )
 scan_query("x20_log_of_target")(
