@@ -12,8 +12,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.dates import seconds_between, sunday_on_or_before, year_month
-from millrace.operators.intervals import span_by_calendar
-from millrace.operators.joins import equi_left_join
+from millrace.operators.intervals import distinct_per_month, month_number
+from millrace.operators.joins import equi_left_join, spread_join
 from millrace.operators.windows import sequential_window
 from millrace.params import Params
 from millrace.plans.delivery import projects_with_value
@@ -28,27 +28,26 @@ FIRST_HEADCOUNT_DAY = dt.date(2005, 1, 31)
 def monthly_headcount(time_series: DataFrame, users: DataFrame, p: Params) -> DataFrame:
     """Distinct staff per month end, branch, department and level; a month without staff keeps one row.
 
-    Employees with the same group, code and span are merged before their months are listed.
+    Somebody counts from the month they start in up to the month before the one they quit in.
     """
     month_ends = time_series.where(
         F.col("is_month_end") & F.col("date").between(FIRST_HEADCOUNT_DAY, p.as_of)
-    ).select(F.col("date").alias("month_end"), "year", "month_name")
-    spans = users.select(*HEADCOUNT_GROUP, "staff_code", "probation_date", "quit_date").distinct()
-    employed = span_by_calendar(
-        spans,
-        month_ends.select("month_end"),
-        "probation_date",
-        "quit_date",
-        p.as_of,
-        FIRST_HEADCOUNT_DAY,
-        calendar_date="month_end",
-    ).where(F.col("quit_date").isNull() | (F.col("quit_date") > F.col("month_end")))
-    counts = employed.groupBy("month_end", *HEADCOUNT_GROUP).agg(
-        F.countDistinct("staff_code").alias("employee_count")
+    ).select(month_number(F.col("date")).alias("month"), F.col("date").alias("month_end"), "year", "month_name")
+    first, last = month_number(F.lit(FIRST_HEADCOUNT_DAY)), month_number(F.lit(p.as_of))
+    spans = users.where(F.col("probation_date").isNotNull()).select(
+        *HEADCOUNT_GROUP,
+        "staff_code",
+        F.greatest(month_number(F.col("probation_date")), first).alias("first_month"),
+        F.least(month_number(F.col("quit_date")) - 1, last).alias("last_month"),
+    )
+    counts = distinct_per_month(
+        spans, HEADCOUNT_GROUP, "staff_code", "first_month", "last_month", "employee_count"
     )
     # The calendar side is preserved, and has one row per month.
-    return month_ends.join(counts, "month_end", "left").withColumn(
-        "employee_count", F.coalesce("employee_count", F.lit(0))
+    return (
+        month_ends.join(counts, "month", "left")
+        .drop("month")
+        .withColumn("employee_count", F.coalesce("employee_count", F.lit(0)))
     )
 
 
@@ -296,8 +295,11 @@ def project_sla(dim_projects: DataFrame, project_members: DataFrame, issues: Dat
             F.count_if(F.col("resolution_date") <= F.col("due_date")).alias("on_time"),
         )
     )
-    projects = dim_projects.select("project_id", "jira_project_id", *SLA_GROUP).join(
-        per_issue_project, "jira_project_id", "inner"
+    projects = spread_join(
+        dim_projects.select("project_id", "jira_project_id", *SLA_GROUP),
+        per_issue_project,
+        ["jira_project_id"],
+        "inner",
     )
     per_team = project_members.groupBy("project_id").agg(F.count(F.lit(1)).alias("members"))
     ratios = (
@@ -374,11 +376,13 @@ def contributions(
     resolved = issues.groupBy(F.col("issue_assignee").alias("member_email"), "jira_project_id").agg(
         F.countDistinct(F.when(F.col("status") == closed, F.col("issue_id"))).alias("issues_resolved")
     )
-    team = (
-        dim_projects.select("project_id", "project_name", "jira_project_id")
-        .join(project_members.select("project_id", "member_id"), "project_id", "inner")
-        .join(members, "member_id", "inner")
-    )
+    # One project may own much of the member rows.
+    team = spread_join(
+        project_members.select("project_id", "member_id"),
+        dim_projects.select("project_id", "project_name", "jira_project_id"),
+        ["project_id"],
+        "inner",
+    ).join(members, "member_id", "inner")
     keys = ["member_email", "jira_project_id"]
     zero = F.lit(0)
     return (

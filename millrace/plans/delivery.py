@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.dates import is_sunday
-from millrace.operators.joins import equi_left_join
+from millrace.operators.joins import equi_left_join, spread_join
 from millrace.params import Params
 from millrace.plans.registry import Inputs, model, project
 
@@ -133,11 +133,13 @@ PROJECT_COLUMNS = (
 
 
 def projects_with_value(projects: DataFrame, profit_loss: DataFrame, value, columns) -> DataFrame:
-    """Projects left-joined to one summed value per project."""
-    values = profit_loss.groupBy(F.col("project_id").alias("_valued")).agg(
-        F.sum(value).alias("project_value")
-    )
-    return equi_left_join(projects.select(*columns), values, "project_id", "_valued")
+    """Projects left-joined to one summed value per project.
+
+    A project may come with many external facts, so its id can be hot on the left.
+    """
+    values = profit_loss.groupBy("project_id").agg(F.sum(value).alias("project_value"))
+    joined = spread_join(projects.select(*columns), values, ["project_id"], "left")
+    return joined.select(*columns, "project_value")
 
 
 @model(MART, "dim_projects", [f"{DWH}.projects", f"{DWH}.project_profit_loss"])
@@ -201,11 +203,9 @@ def fct_project_members(inputs: Inputs, p: Params) -> DataFrame:
 
 @model(MART, "fct_worklog", [f"{DWH}.jira_worklog", f"{DWH}.jira_issues"])
 def fct_worklog(inputs: Inputs, p: Params) -> DataFrame:
-    """Work log rows with the project of their issue."""
-    issues = project(
-        inputs[f"{DWH}.jira_issues"], {"_issue": "issue_id", "jira_project_id": "jira_project_id"}
-    )
-    return equi_left_join(inputs[f"{DWH}.jira_worklog"], issues, "issue_id", "_issue").select(
+    """Work log rows with the project of their issue; one issue may own much of the log."""
+    issues = inputs[f"{DWH}.jira_issues"].select("issue_id", "jira_project_id")
+    return spread_join(inputs[f"{DWH}.jira_worklog"], issues, ["issue_id"], "left").select(
         "worklog_id",
         "issue_id",
         "jira_project_id",
