@@ -1,10 +1,11 @@
 """Joins that stay balanced when one key owns a large share of the rows.
 
 Small lookups need nothing from here: Spark broadcasts a side whose measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond that. When both sides of a join are freshly
-shuffled, Spark splits a hot partition at run time by itself. The functions below cover the rest: a hot key on
-the preserved side of a join whose other side is already partitioned by the key (nothing is shuffled there,
-so nothing can be split), and a hot key on the other side of a left join.
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond that. When both sides of a join arrive by a
+shuffle made for that join, Spark splits a hot partition at run time: either side of an inner join, the
+preserved side of an outer one, and by the tasks that wrote it, so that even identical rows part. It cannot
+do so when one side is still partitioned by the key from a step before (a sum per key, an earlier join), since
+nothing is shuffled there. The functions below close that gap.
 """
 
 from __future__ import annotations
@@ -12,79 +13,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, IntegralType, LongType
 
-# Keys are counted in this many hash slots, so neither the counts nor the list of hot slots grow with the data.
-SLOTS = 65_536
-# A slot is hot when one task should not take its rows alone and they stand out from the average slot.
-HOT_ROWS = 5_000_000
-HOT_FACTOR = 8
-SPREAD = 64
+SPLITTABLE_JOINS = ("inner", "left")
 
 
-def _key_type(df: DataFrame, key: str) -> DataType:
-    dtype = df.schema[key].dataType
-    return LongType() if isinstance(dtype, IntegralType) else dtype
+def _own_shuffle(on: Sequence[str]) -> Column:
+    """Always 0, in a form the optimizer cannot see through."""
+    return F.pmod(F.hash(*on), F.lit(1))
 
 
-def _slot(df: DataFrame, on: Sequence[str]) -> Column:
-    """Hash slot of the key; whole numbers of any width hash alike."""
-    keys = [F.col(key).cast(_key_type(df, key)) for key in on]
-    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
+def splittable_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on equally named columns where a key may own much of ``left``.
 
-
-def hot_slots(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hash slots of the key that hold far more rows than others: at most SLOTS / HOT_FACTOR rows."""
-    counts = df.dropna(subset=list(on)).groupBy(_slot(df, on).alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
-    # One row of at most SLOTS entries, to compare each with their mean.
-    gathered = counts.agg(
-        F.collect_list(F.struct("slot", "rows")).alias("slots"), (F.sum("rows") / SLOTS).alias("mean")
-    )
-    limit = F.greatest(F.lit(float(hot_rows)), F.col("mean") * HOT_FACTOR)
-    return gathered.select(
-        F.explode(F.filter("slots", lambda s: s["rows"] >= limit)).alias("s")
-    ).select(F.col("s.slot").alias("_slot"), F.lit(True).alias("_hot"))
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    hot_rows: int = HOT_ROWS,
-    spread: int = SPREAD,
-) -> DataFrame:
-    """``left`` or ``inner`` equi-join where a key may own much of ``left`` and few rows of ``right``.
-
-    Left rows of a hot slot are dealt over ``spread`` buckets by a digest of their values, and the right rows
-    of that slot are copied into each bucket. Rows without a key match nothing and are dealt out likewise.
-    What counts as hot only moves rows around, never the result.
+    One more key column, the same on both sides, makes Spark shuffle both for this join alone, which is what
+    lets it split hot partitions. The price is a second shuffle of a ``right`` that was summed up by the key,
+    usually far smaller than ``left``.
     """
-    if how not in ("left", "inner"):
-        raise ValueError(f"cannot spread a {how} join")
+    if how not in SPLITTABLE_JOINS:
+        raise ValueError(f"hot rows of a {how} join cannot be split")
     on = list(on)
-    for key in on:
-        if _key_type(left, key) != _key_type(right, key):
-            raise TypeError(f"{key} has different types, so equal keys would hash differently")
-    hot = F.broadcast(hot_slots(left, on, hot_rows))
-    keyless: Column = F.lit(False)
-    for key in on:
-        keyless = keyless | F.col(key).isNull()
-    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(spread)).cast("int")
-    dealt = (
-        left.withColumn("_slot", _slot(left, on))
-        .join(hot, "_slot", "left")
-        .withColumn("_bucket", F.when(F.col("_hot") | keyless, bucket).otherwise(F.lit(0)))
-        .drop("_slot", "_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    copied = (
-        right.withColumn("_slot", _slot(right, on))
-        .join(hot, "_slot", "left")
-        .withColumn("_bucket", F.explode(copies))
-        .drop("_slot", "_hot")
+    return (
+        left.withColumn("_own", _own_shuffle(on))
+        .join(right.withColumn("_own", _own_shuffle(on)), [*on, "_own"], how)
+        .drop("_own")
     )
-    return dealt.join(copied, [*on, "_bucket"], how).drop("_bucket")
 
 
 def left_join_hot_right(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -94,7 +46,7 @@ def left_join_hot_right(left: DataFrame, right: DataFrame, on: Sequence[str]) ->
     against the distinct keys.
     """
     on = list(on)
-    matched = left.join(right, on, "inner")
+    matched = splittable_join(left, right, on, "inner")
     extra = [f for f in right.schema.fields if f.name not in on]
     unmatched = left.join(right.select(*on).distinct(), on, "left_anti").select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.dates import seconds_between, sunday_on_or_before, year_month
 from millrace.operators.intervals import distinct_per_month, month_number
-from millrace.operators.joins import equi_left_join, spread_join
+from millrace.operators.joins import equi_left_join, splittable_join
 from millrace.operators.windows import sequential_window
 from millrace.params import Params
 from millrace.plans.delivery import projects_with_value
@@ -295,7 +295,7 @@ def project_sla(dim_projects: DataFrame, project_members: DataFrame, issues: Dat
             F.count_if(F.col("resolution_date") <= F.col("due_date")).alias("on_time"),
         )
     )
-    projects = spread_join(
+    projects = splittable_join(
         dim_projects.select("project_id", "jira_project_id", *SLA_GROUP),
         per_issue_project,
         ["jira_project_id"],
@@ -377,7 +377,7 @@ def contributions(
         F.countDistinct(F.when(F.col("status") == closed, F.col("issue_id"))).alias("issues_resolved")
     )
     # One project may own much of the member rows.
-    team = spread_join(
+    team = splittable_join(
         project_members.select("project_id", "member_id"),
         dim_projects.select("project_id", "project_name", "jira_project_id"),
         ["project_id"],
@@ -385,9 +385,9 @@ def contributions(
     ).join(members, "member_id", "inner")
     keys = ["member_email", "jira_project_id"]
     zero = F.lit(0)
+    with_work = splittable_join(team, work, keys, "left")
     return (
-        team.join(work, keys, "left")
-        .join(resolved, keys, "left")
+        splittable_join(with_work, resolved, keys, "left")
         .select(
             "project_name",
             *MEMBER_COLUMNS,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.dates import is_sunday
-from millrace.operators.joins import equi_left_join, spread_join
+from millrace.operators.joins import equi_left_join, splittable_join
 from millrace.params import Params
 from millrace.plans.registry import Inputs, model, project
 
@@ -138,7 +138,7 @@ def projects_with_value(projects: DataFrame, profit_loss: DataFrame, value, colu
     A project may come with many external facts, so its id can be hot on the left.
     """
     values = profit_loss.groupBy("project_id").agg(F.sum(value).alias("project_value"))
-    joined = spread_join(projects.select(*columns), values, ["project_id"], "left")
+    joined = splittable_join(projects.select(*columns), values, ["project_id"], "left")
     return joined.select(*columns, "project_value")
 
 
@@ -205,7 +205,7 @@ def fct_project_members(inputs: Inputs, p: Params) -> DataFrame:
 def fct_worklog(inputs: Inputs, p: Params) -> DataFrame:
     """Work log rows with the project of their issue; one issue may own much of the log."""
     issues = inputs[f"{DWH}.jira_issues"].select("issue_id", "jira_project_id")
-    return spread_join(inputs[f"{DWH}.jira_worklog"], issues, ["issue_id"], "left").select(
+    return splittable_join(inputs[f"{DWH}.jira_worklog"], issues, ["issue_id"], "left").select(
         "worklog_id",
         "issue_id",
         "jira_project_id",
