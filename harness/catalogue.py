@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
@@ -57,10 +57,10 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar_bounds(read: Callable[[str], DataFrame]) -> DataFrame:
     """First day of the first order's year to the last day of the last event's year."""
-    first = raw(spark, sf_dir, "orders").agg(F.to_date(F.min("o_orderdate")).alias("d"))
-    last = raw(spark, sf_dir, "events").agg(F.to_date(F.max("ts")).alias("d"))
+    first = read("orders").agg(F.to_date(F.min("o_orderdate")).alias("d"))
+    last = read("events").agg(F.to_date(F.max("ts")).alias("d"))
     return (
         first.unionByName(last)
         .agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
@@ -73,12 +73,14 @@ def calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def workspace(spark: SparkSession, sf_dir: str, p: Params) -> Workspace:
     tune(spark)
+    # Opening a file reads its footer, so each is opened once.
+    read = cache(partial(raw, spark, sf_dir))
 
     def given(name: str) -> DataFrame:
         if name == "dwh.time_series":
-            return calendar.time_series_of(calendar_bounds(spark, sf_dir))
+            return calendar.time_series_of(calendar_bounds(read))
         view = VIEWS[name]
-        return spark.sql(view.select, **{t: raw(spark, sf_dir, t) for t in view.tables})
+        return spark.sql(view.select, **{t: read(t) for t in view.tables})
 
     return Workspace(given, p)
 
