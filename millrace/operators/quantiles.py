@@ -92,6 +92,8 @@ def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
 
 
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnRange]:
+    if not columns:
+        return {}
     aggregates = []
     for i, name in enumerate(columns):
         aggregates += [
@@ -114,7 +116,8 @@ def exact_quantiles(
     ranges: Mapping[str, ColumnRange] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; None for a column without values."""
-    ranges = ranges or column_ranges(df, columns)
+    if ranges is None:
+        ranges = column_ranges(df, columns)
     filled = [c for c in columns if ranges[c].rows]
     pending = []
     for c in filled:

@@ -284,8 +284,8 @@ SLA_GROUP = ("project_name", "location", "scope", "size")
 def project_sla(dim_projects: DataFrame, project_members: DataFrame, issues: DataFrame) -> DataFrame:
     """Share of resolved, dated issues done by their due date, and the distinct team size.
 
-    A project contributes members x issues row pairs to its group. Both factors are counted on their own
-    side and multiplied.
+    A project contributes members x issues row pairs to its group. Its issues are counted first and joined
+    to its distinct members, each weighted by its row count.
     """
     per_issue_project = (
         issues.where(F.col("resolution_date").isNotNull() & F.col("due_date").isNotNull())
@@ -301,30 +301,16 @@ def project_sla(dim_projects: DataFrame, project_members: DataFrame, issues: Dat
         ["jira_project_id"],
         "inner",
     )
-    per_team = project_members.groupBy("project_id").agg(F.count(F.lit(1)).alias("members"))
-    ratios = (
-        projects.join(per_team, "project_id", "inner")
+    team = project_members.groupBy("project_id", "member_id").agg(F.count(F.lit(1)).alias("member_rows"))
+    pairs, on_time = (F.col("member_rows") * F.col(c) for c in ("issues", "on_time"))
+    return (
+        splittable_join(team, projects, ["project_id"], "inner")
         .groupBy(*SLA_GROUP)
         .agg(
-            (F.sum(F.col("members") * F.col("on_time")) / F.sum(F.col("members") * F.col("issues"))).alias(
-                "sla_compliance_percent"
-            )
+            F.countDistinct("member_id").alias("team_size"),
+            (F.sum(on_time) / F.sum(pairs)).alias("sla_compliance_percent"),
         )
     )
-    people = (
-        project_members.select("project_id", "member_id")
-        .distinct()
-        .join(projects.select("project_id", *SLA_GROUP), "project_id", "inner")
-        .groupBy(*SLA_GROUP)
-        .agg(F.countDistinct("member_id").alias("team_size"))
-    )
-    same_group = None
-    for name in SLA_GROUP:
-        pair = ratios[name].eqNullSafe(people[name])
-        same_group = pair if same_group is None else same_group & pair
-    return ratios.join(people, same_group, "inner").select(
-        *[ratios[name] for name in SLA_GROUP], "team_size", "sla_compliance_percent"
-    )
 
 
 MEMBER_COLUMNS = (

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.params import Params
-from millrace.sources.tables import TableStore, target_schema
+from millrace.sources.tables import target_schema
 
 Inputs = Mapping[str, DataFrame]
 Build = Callable[[Inputs, Params], DataFrame]
@@ -86,13 +86,3 @@ class Workspace:
             else:
                 self._built[name] = self.given(name)
         return self._built[name]
-
-
-def materialise(store: TableStore, targets: Iterable[str], params: Params) -> dict[str, DataFrame]:
-    """Builds and stores ``targets`` and their inputs; each model reads the stored tables before it."""
-    stored: dict[str, DataFrame] = {}
-    for name in run_order(targets):
-        entry = MODELS[name]
-        inputs = {i: store.read(*i.split(".")) for i in entry.inputs}
-        stored[name] = store.overwrite(*name.split("."), entry.build(inputs, params))
-    return stored

@@ -10,10 +10,8 @@ from harness import catalogue
 from millrace import allowlists
 from millrace.operators import calendar, quality
 from millrace.params import Params
-from millrace.plans import analyses, delivery, free_effort, hr, warehouse
-from millrace.plans.registry import MODELS, materialise
-from millrace.session import fresh_path
-from millrace.sources.tables import TableStore
+from millrace.plans import analyses, free_effort, hr
+from millrace.plans.registry import MODELS
 
 P = Params(as_of=dt.date(2024, 2, 28), load_ts=dt.datetime(2024, 3, 1))
 D = dt.date
@@ -373,24 +371,3 @@ def test_report_without_failures(spark):
         "Success Rate: 100.00%",
         "All expectations passed!",
     ]
-
-
-# End to end --------------------------------------------------------------------------------------
-
-
-def test_stored_pipeline_equals_the_lazy_one(spark, sf_dir):
-    """Staged tables are stored, then the models are built from stored tables, inputs first."""
-    store = TableStore(spark, fresh_path(spark, "pipeline"))
-    ws = catalogue.workspace(spark, sf_dir, catalogue.DELIVERY)
-    target = "jira.dim_members"
-    needed = {i for n in ("dwh.users", "dwh.branches", "dwh.departments", "dwh.user_positions") for i in MODELS[n].inputs}
-    try:
-        for name in needed:
-            store.overwrite(*name.split("."), ws.table(name))
-        stored = materialise(store, [target], catalogue.DELIVERY)
-        assert list(stored)[-1] == target and len(stored) == 5
-        assert stored[target].exceptAll(ws.table(target)).isEmpty()
-        assert stored[target].count() == ws.table(target).count() > 0
-    finally:
-        for schema in ("src_create", "dwh", "jira"):
-            spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
