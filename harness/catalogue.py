@@ -279,10 +279,10 @@ def _(spark, read):
     remote = read("events").select(
         F.concat(F.lit("src_"), "event_type").alias("table_schema"),
         F.concat(F.lit("stg_u"), F.col("user_id").cast("string")).alias("table_name"),
-        F.when(F.col("event_id") % 5 == 0, "VIEW").otherwise("BASE TABLE").alias("table_type"),
+        F.when(F.col("event_type") == "error", "VIEW").otherwise("BASE TABLE").alias("table_type"),
     ).distinct()
-    local = read("customer").where(F.col("c_nationkey") < 10).select(
-        F.concat(F.lit("stg_u"), F.col("c_custkey").cast("string")).alias("table_name")
+    local = read("supplier").select(
+        F.concat(F.lit("stg_u"), F.col("s_suppkey").cast("string")).alias("table_name")
     )
     return runlog.new_tables(remote, local)
 
@@ -544,6 +544,15 @@ def _(table, p):
     )
 
 
+@query("f12_elapsed")
+def _(table, p):
+    return table("dwh.jira_issues").select(
+        "issue_id",
+        dates.seconds_between("resolution_date", "created_time").alias("seconds"),
+        dates.days_between("resolution_date", "created_time").cast("double").alias("days"),
+    )
+
+
 # Data quality --------------------------------------------------------------------------------------
 
 

@@ -116,6 +116,11 @@ def seconds_between(end: Column | str, start: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", as_column(start), as_column(end)) / 1_000_000
 
 
+def days_between(end: Column | str, start: Column | str) -> Column:
+    """Whole days, cut off towards zero."""
+    return F.timestamp_diff("DAY", as_column(start), as_column(end))
+
+
 def rejected_texts(df, key: str, parsers: dict[str, object]):
     """Non-empty texts a parser could not read, as ``(row_key, column_name, raw_text)`` rows."""
     cells = F.explode(

@@ -338,10 +338,11 @@ def worked_time(
     if author is not None:
         worklog = worklog.where(F.col("worklog_author") == author)
     work = _work_by_author(worklog, project_id).where(F.col("worklog_author").isNotNull())
-    return (
-        members.join(work, members["member_email"] == work["worklog_author"], "inner")
-        .groupBy(*MEMBER_COLUMNS, "jira_project_id")
-        .agg(F.sum("time_worked").alias("time_worked"))
+    people = members.groupBy(*MEMBER_COLUMNS).agg(F.count(F.lit(1)).alias("member_rows"))
+    return people.join(work, people["member_email"] == work["worklog_author"], "inner").select(
+        *MEMBER_COLUMNS,
+        "jira_project_id",
+        (F.col("time_worked") * F.col("member_rows")).alias("time_worked"),
     )
 
 

@@ -75,13 +75,14 @@ def with_moving_average(actual: DataFrame, mode: str) -> DataFrame:
 
 
 def planned_efforts(efforts: DataFrame, members: DataFrame) -> DataFrame:
-    """Planned effort per member and month, shrunk to (member, month) before the join."""
+    """Planned effort per member and month; both sides shrink to their distinct keys before the join."""
     planned = efforts.groupBy("member_id", "month_year").agg(F.sum("effort").alias("effort"))
+    mailboxes = members.groupBy("member_id", "member_email").agg(F.count(F.lit(1)).alias("member_rows"))
     return (
-        planned.join(members.select("member_id", "member_email"), "member_id")
+        planned.join(mailboxes, "member_id")
         .groupBy(*KEYS)
         .agg(
-            F.sum("effort").alias("pod_efforts"),
+            F.sum(F.col("effort") * F.col("member_rows")).alias("pod_efforts"),
             F.countDistinct("member_id").alias("planned_members"),
         )
     )

@@ -69,11 +69,11 @@ def yearly_absence(attendances: DataFrame) -> DataFrame:
 
 def yearly_pay(level: Column, row_key: Column, seed: str) -> Column:
     """A repeatable draw from the level's pay range; null for a level without one."""
-    pay = F.lit(None).cast("int")
+    lows, spans = F.lit(None).cast("int"), F.lit(None).cast("int")
     for name, (low, high) in PAY_RANGES.items():
-        draw = synthetic.whole_number(row_key, "emp_salary", seed, low, high)
-        pay = F.when(level == name, F.lit(PAID_MONTHS) * draw).otherwise(pay)
-    return pay
+        lows = F.when(level == name, low).otherwise(lows)
+        spans = F.when(level == name, high - low + 1).otherwise(spans)
+    return PAID_MONTHS * F.floor(lows + synthetic.fraction(row_key, "emp_salary", seed) * spans).cast("int")
 
 
 @model(HR, "fct_hrm_employees", [f"{DWH}.time_series", f"{DWH}.users", f"{DWH}.staff_attendances"])

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from millrace.plans import analyses
 
 QUERIES = queries()
 # Queries whose single-task step holds one row per calendar month or year, per (month, slice) or per result.
@@ -54,5 +55,11 @@ def test_scans_read_only_what_they_need(spark, sf_dir):
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
-    plan = physical(spark, sf_dir, "s13_catalogue_sync")
-    assert "LessThan(c_nationkey,10)" in plan
+    table = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    work = table.selectExpr(
+        "l_orderkey worklog_id", "l_partkey jira_project_id", "l_returnflag worklog_author", "l_quantity time_worked"
+    )
+    members = work.selectExpr(*[f"worklog_author {c}" for c in analyses.MEMBER_COLUMNS])
+    plan = analyses.worked_time(work, members, "A", 7)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_returnflag,A)" in plan and "EqualTo(l_partkey,7)" in plan
+    assert columns_read(plan, "lineitem") == {"l_partkey", "l_returnflag", "l_quantity"}, plan
