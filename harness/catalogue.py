@@ -11,7 +11,7 @@ from functools import cache, partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
 
-from harness.bindings import SparkDialect, views
+from harness.bindings import SCHEMAS, SparkDialect, views
 from millrace.functions import dates
 from millrace.operators import calendar, quality, runlog, snapshots
 from millrace.operators.intervals import span_by_calendar
@@ -54,7 +54,7 @@ AGE_DIGITS = {"years": 0, "months": 0, "days": 0}
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def calendar_bounds(read: Callable[[str], DataFrame]) -> DataFrame:

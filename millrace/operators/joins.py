@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SPLITTABLE_JOINS = ("inner", "left")
+SPLITTABLE_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
 def _own_shuffle(on: Sequence[str]) -> Column:
@@ -48,7 +48,7 @@ def left_join_hot_right(left: DataFrame, right: DataFrame, on: Sequence[str]) ->
     on = list(on)
     matched = splittable_join(left, right, on, "inner")
     extra = [f for f in right.schema.fields if f.name not in on]
-    unmatched = left.join(right.select(*on).distinct(), on, "left_anti").select(
+    unmatched = splittable_join(left, right.select(*on).distinct(), on, "left_anti").select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
     )
     return matched.unionByName(unmatched)

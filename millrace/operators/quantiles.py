@@ -16,6 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CELLS = 16_384
+CROWDED = 16
+# Smallest exponent of a double, so that magnitudes start above zero.
+LOWEST_EXPONENT = 1075.0
 
 
 @dataclass(frozen=True)
@@ -38,18 +41,34 @@ class _Range:
     """A value range of a column that still holds wanted ranks, and how many values lie below it."""
 
     column: str
+    rows: int
     below: int
     low: float
     high: float
     ranks: tuple[int, ...]
+    by_magnitude: bool = False
+
+
+def _magnitude(v: float) -> float:
+    return math.copysign(math.log2(abs(v)) + LOWEST_EXPONENT, v) if v else 0.0
 
 
-def _cell(value: Column, low: float, high: float) -> Column:
-    """Cell number in 0..CELLS-1. ``low`` and ``high`` always fall into different cells."""
-    # Halving keeps the width finite when the range spans most of the doubles.
-    scale = 0.5 if math.isinf(high - low) else 1.0
-    share = (value * scale - low * scale) / (high * scale - low * scale)
-    return F.least(F.floor(share * CELLS), F.lit(CELLS - 1))
+def _cell(value: Column, r: _Range) -> Column:
+    """Cell number in 0..CELLS-1. The ends of the range always fall into different cells.
+
+    Cells are equally wide, or equally wide in signed magnitude, which separates values that differ by
+    orders of magnitude.
+    """
+    low, high = _magnitude(r.low), _magnitude(r.high)
+    if r.by_magnitude and low < high:
+        size = F.log2(F.abs(value)) + LOWEST_EXPONENT
+        place = F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0.0))
+    else:
+        # Halving keeps the width finite when the range spans most of the doubles.
+        scale = 0.5 if math.isinf(r.high - r.low) else 1.0
+        low, high, place = r.low * scale, r.high * scale, value * scale
+    share = (place - low) / (high - low)
+    return F.greatest(F.lit(0), F.least(F.floor(share * CELLS), F.lit(CELLS - 1)))
 
 
 def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
@@ -59,7 +78,7 @@ def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
         inside = F.when(usable(r.column).between(r.low, r.high), usable(r.column))
         probes.append(
             F.struct(
-                F.lit(i).alias("range"), inside.alias("value"), _cell(inside, r.low, r.high).alias("cell")
+                F.lit(i).alias("range"), inside.alias("value"), _cell(inside, r).alias("cell")
             )
         )
     cells = (
@@ -87,7 +106,12 @@ def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
         parent = ranges[hit["range"]]
         first = parent.below + hit["upto"] - hit["rows"]
         ranks = tuple(k for k in parent.ranks if first <= k < first + hit["rows"])
-        narrowed.append(_Range(parent.column, first, hit["low"], hit["high"], ranks))
+        # A cell that still holds much of its range means that the other kind of cell separates better.
+        crowded = hit["rows"] * CROWDED > parent.rows
+        by_magnitude = parent.by_magnitude != crowded
+        narrowed.append(
+            _Range(parent.column, hit["rows"], first, hit["low"], hit["high"], ranks, by_magnitude)
+        )
     return narrowed
 
 
@@ -123,7 +147,7 @@ def exact_quantiles(
     for c in filled:
         ranks = {k for share in shares for k in _neighbours(ranges[c].rows, share)[:2]}
         bounds = _bounded(ranges[c].low), _bounded(ranges[c].high)
-        pending.append(_Range(c, 0, *bounds, tuple(sorted(ranks))))
+        pending.append(_Range(c, ranges[c].rows, 0, *bounds, tuple(sorted(ranks))))
     done: dict[tuple[str, int], float] = {}
     while pending:
         done.update({(r.column, k): r.low for r in pending if r.low == r.high for k in r.ranks})

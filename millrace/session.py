@@ -20,12 +20,29 @@ RUNTIME_SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 3
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    """Applies the runtime settings.
+
+    On a cluster, shuffles start with a few partitions per core, however small the default number is; small
+    ones are merged again at run time. A number somebody has set is left alone.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if not _is_local(spark) and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        spark.conf.set(INITIAL_PARTITIONS, str(max(default, wanted)))
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
 def local_session(cpus: str | int = "*", app: str = "millrace") -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -33,6 +50,8 @@ def local_session(cpus: str | int = "*", app: str = "millrace") -> SparkSession:
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Call sites in error messages cost a stack walk per expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-wh-"))
     )
@@ -55,7 +74,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not _is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_dir()
 

@@ -53,3 +53,14 @@ def extract_document_data(
     A line-delimited export is split over tasks; ``multi_line`` reads each file in one task.
     """
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+
+
+def extract_collection_data(
+    spark: SparkSession, uri: str, database: str, collection: str, schema: StructType | str
+) -> DataFrame:
+    """A whole collection straight from a document store, split over tasks by the connector.
+
+    Needs the public MongoDB connector for Spark on the class path, which this library does not bring along.
+    """
+    options = {"connection.uri": uri, "database": database, "collection": collection}
+    return spark.read.format("mongodb").schema(schema).options(**options).load()

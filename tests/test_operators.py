@@ -186,7 +186,7 @@ def small_partitions(spark):
         spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("how", joins.SPLITTABLE_JOINS)
 def test_splittable_join_equals_the_plain_join(spark, hot_fact, how):
     # The other side holds the key in another width and twice for one value.
     other = spark.range(300).union(spark.range(7, 8)).select(
@@ -195,7 +195,7 @@ def test_splittable_join_equals_the_plain_join(spark, hot_fact, how):
     assert same_rows(joins.splittable_join(hot_fact, other, ["k"], how), hot_fact.join(other, "k", how))
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("how", joins.SPLITTABLE_JOINS)
 def test_hot_partition_is_split_against_sums(spark, hot_fact, how, small_partitions):
     fact = hot_fact.repartition(16)
     sums = spark.range(30000).groupBy((F.col("id") % 300).cast("int").alias("k")).count()
@@ -314,3 +314,12 @@ def test_repeatable_sample(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
     first = {r["k"] for r in runlog.repeatable_sample(df.repartition(3), "k", 20).collect()}
     assert len(first) == 20 and first == {r["k"] for r in runlog.repeatable_sample(df, "k", 20).collect()}
+
+
+def test_quantiles_need_few_rounds(spark, monkeypatch):
+    rounds = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    wide = spark.range(5000).select(F.pow(F.lit(10.0), F.col("id") % 600 - 300).alias("v"))
+    quantiles.exact_quantiles(wide, ["v"], [0.05, 0.95])
+    assert len(rounds) <= 6

@@ -55,6 +55,11 @@ def test_broken_documents_fail_the_read(spark, tmp_path):
         readers.extract_document_data(spark, str(tmp_path), "n int").collect()
 
 
+def test_missing_connector_is_named(spark):
+    with pytest.raises(Exception, match="mongodb"):
+        readers.extract_collection_data(spark, "mongodb://nowhere", "d", "c", "n int")
+
+
 # Cleaning ----------------------------------------------------------------------------------------
 
 DOCUMENT = (
