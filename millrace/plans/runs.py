@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,6 +22,8 @@ from millrace.sources.tables import TableStore
 MONITORING = "monitoring"
 LOGS, COUNTS, CHECKS = "etl_job_logs", "row_counts", "quality_results"
 
+PARALLEL_CHECKS = 8
+
 # The database names a run log entry carries.
 STAGING_DB, WAREHOUSE_DB, MART_DB = "staging", "dwh", "dtm"
 
@@ -75,7 +78,9 @@ def record(store: TableStore, outcomes: list[Outcome], p: Params) -> None:
         return
     store.append(MONITORING, COUNTS, _union(runlog.row_count(o.result, o.name, p.load_ts) for o in loaded))
     run_ts = F.lit(p.load_ts.isoformat(" ")).cast("timestamp_ntz").alias("run_ts")
-    checks = _union(quality.validate(o.result, o.name) for o in loaded)
+    # A check runs a few small jobs in a row; threads let those of several tables share the cluster.
+    with ThreadPoolExecutor(PARALLEL_CHECKS) as pool:
+        checks = _union(pool.map(lambda o: quality.validate(o.result, o.name), loaded))
     store.append(MONITORING, CHECKS, checks.select(run_ts, "*"))
 
 
