@@ -100,8 +100,24 @@ def age_parts(end: Column | str | dt.date, start: Column | str | dt.date) -> Age
 
 
 def age_years(end: Column | str | dt.date, start: Column | str | dt.date) -> Column:
-    """Completed years, so a leap-day birthday counts only from the 29th on."""
-    return age_parts(end, start).years
+    """The years of :func:`age_parts` in a shorter form. A leap-day birthday counts only from the 29th on."""
+
+    def completed(late: Column, early: Column) -> Column:
+        not_yet = F.month(late) * 32 + F.dayofmonth(late) < F.month(early) * 32 + F.dayofmonth(early)
+        return F.year(late) - F.year(early) - not_yet.cast("int")
+
+    a, b = as_column(end), as_column(start)
+    return F.when(a >= b, completed(a, b)).otherwise(-completed(b, a))
+
+
+def age_from_new_year(end: Column | str, start: Column | str) -> Column:
+    """:func:`age_in_years` since January 1 of the year of ``start``, for an ``end`` in that year or later.
+
+    Counted from the first day of a year, no month or day is ever borrowed.
+    """
+    a, b = as_column(end), as_column(start)
+    rest = (F.month(a) - 1) * F.lit(DAYS_PER_MONTH) + F.dayofmonth(a) - 1
+    return F.year(a) - F.year(b) + rest / F.lit(DAYS_PER_YEAR)
 
 
 def age_in_years(end: Column | str | dt.date, start: Column | str | dt.date) -> Column:

@@ -17,6 +17,7 @@ from millrace.operators.joins import equi_left_join, splittable_join
 from millrace.operators.windows import sequential_window
 from millrace.params import Params
 from millrace.plans.delivery import projects_with_value
+from millrace.session import cut_lineage
 
 HEADCOUNT_GROUP = ("branch_id", "department_id", "user_level")
 FIRST_HEADCOUNT_DAY = dt.date(2005, 1, 31)
@@ -70,8 +71,9 @@ def headcount_change(time_series: DataFrame, users: DataFrame, p: Params, by: st
     """
     counts = monthly_headcount(time_series, users, p)
     if by == "sequence":
+        # Both halves of the window read the counts, so they are stored once instead of computed twice.
         ordered = sequential_window(
-            counts,
+            cut_lineage(counts),
             leading=["month_end"],
             tie_keys=list(HEADCOUNT_GROUP),
             preceding=1,

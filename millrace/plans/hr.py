@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import synthetic
-from millrace.functions.dates import age_in_years, age_years
+from millrace.functions.dates import age_from_new_year, age_years
 from millrace.operators.intervals import span_by_calendar
 from millrace.params import Params
 from millrace.plans.registry import Inputs, model, project
@@ -67,6 +67,14 @@ def yearly_absence(attendances: DataFrame) -> DataFrame:
     ).agg(F.sum("absent_day").alias("total_absence"))
 
 
+def absence_by_user(attendances: DataFrame) -> DataFrame:
+    """One row per user: a map from year text to absent days, with at most one entry per calendar year."""
+    per_year = yearly_absence(attendances).where(F.col("report_year").isNotNull())
+    return per_year.groupBy(F.col("emp_id").alias("user_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("report_year", "total_absence"))).alias("absences")
+    )
+
+
 def yearly_pay(level: Column, row_key: Column, seed: str) -> Column:
     """A repeatable draw from the level's pay range; null for a level without one."""
     lows, spans = F.lit(None).cast("int"), F.lit(None).cast("int")
@@ -81,7 +89,8 @@ def fct_hrm_employees(inputs: Inputs, p: Params) -> DataFrame:
     """One row per employee and year end while employed, leavers of that December included.
 
     The span of each employee lists its own year ends (at most ``fact_years`` + 1), so no date range join
-    takes place.
+    takes place. Absences join while an employee is still one row; nothing is shuffled after the years are
+    listed.
     """
     first_day = dt.date(p.as_of.year - p.fact_years, 1, 1)
     year_ends = (
@@ -91,26 +100,24 @@ def fct_hrm_employees(inputs: Inputs, p: Params) -> DataFrame:
         )
         .select("date")
     )
+    users = inputs[f"{DWH}.users"].where(F.col("probation_date").isNotNull())
+    absent = users.join(absence_by_user(inputs[f"{DWH}.staff_attendances"]), "user_id", "left")
     employed = span_by_calendar(
-        inputs[f"{DWH}.users"], year_ends, "probation_date", "quit_date", p.as_of, first_day, yearly=True
+        absent, year_ends, "probation_date", "quit_date", p.as_of, first_day, yearly=True
     ).where(F.col("quit_date").isNull() | (F.col("quit_date") >= F.trunc("date", "month")))
-    facts = employed.withColumns(
-        {
-            "report_year": F.date_format("date", "yyyy"),
-            "_key": F.concat_ws("|", "user_id", F.date_format("date", "yyyy-MM-dd")),
-        }
-    ).withColumnRenamed("user_id", "emp_id")
-    key = F.col("_key")
-    joined = facts.join(
-        yearly_absence(inputs[f"{DWH}.staff_attendances"]), ["emp_id", "report_year"], "left"
+    joined = employed.select(
+        "*",
+        F.concat_ws("|", "user_id", F.col("date").cast("string")).alias("_key"),
+        F.col("absences")[F.year("date").cast("string")].alias("total_absence"),
     )
+    key = F.col("_key")
     labels = F.array(*[F.lit(label) for label in PERFORMANCE_LABELS])
     engagement = synthetic.fraction(key, "engagement_score", p.seed) * 4 + 1
     return project(
         joined,
         {
             "report_date": "date",
-            "emp_id": "emp_id",
+            "emp_id": "user_id",
             "emp_name": "user_name",
             "emp_dob": "birthday",
             "emp_age": age_years("date", "birthday"),
@@ -125,7 +132,7 @@ def fct_hrm_employees(inputs: Inputs, p: Params) -> DataFrame:
             "probation_date": "probation_date",
             "quit_date": "quit_date",
             "tenure_years": F.round(
-                age_in_years("date", F.trunc("probation_date", "year")).cast("decimal(20,10)"), 1
+                age_from_new_year("date", "probation_date").cast("decimal(20,10)"), 1
             ),
             "total_absence": "total_absence",
             "emp_salary": yearly_pay(F.col("user_level"), key, p.seed),

@@ -109,3 +109,16 @@ def test_draws_stay_in_range_and_depend_on_the_seed(spark):
     )
     assert {r["a"] for r in draws.select("a").distinct().collect()} == {3, 4, 5, 6, 7}
     assert draws.where("a <> b").count() > 1000
+
+
+def test_short_forms_equal_the_full_age(spark):
+    days = spark.sql("select explode(sequence(date'1999-12-30', date'2001-03-02')) d")
+    pairs = days.select(F.col("d").alias("a")).join(days.select(F.col("d").alias("b")), F.expr("(a != b or a = b)"))
+    wrong = pairs.where(
+        (dates.age_years("a", "b") != dates.age_parts("a", "b").years)
+        | (
+            (F.year("a") >= F.year("b"))
+            & (F.abs(dates.age_from_new_year("a", "b") - dates.age_in_years("a", F.trunc("b", "year"))) > 1e-9)
+        )
+    )
+    assert pairs.count() == 429**2 and wrong.isEmpty()
