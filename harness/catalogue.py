@@ -9,7 +9,14 @@ from dataclasses import replace
 from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from harness.bindings import SCHEMAS, SparkDialect, views
 from millrace.functions import dates
@@ -86,7 +93,7 @@ def workspace(spark: SparkSession, sf_dir: str, p: Params) -> Workspace:
 
 
 def present(df: DataFrame, digits: Mapping[str, int] | None = None) -> DataFrame:
-    """Dates as ISO text, decimals as doubles and long fractions rounded, so that engines compare alike.
+    """Dates and times as ISO text, decimals as doubles and long fractions rounded, so that engines compare alike.
 
     Whole numbers that may be missing are listed with 0 digits: some clients read them as doubles anyway.
     """
@@ -95,6 +102,8 @@ def present(df: DataFrame, digits: Mapping[str, int] | None = None) -> DataFrame
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DateType):
             c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, TimestampNTZType):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, DecimalType):
             c = c.cast("double")
         if digits and f.name in digits:

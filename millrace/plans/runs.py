@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators import quality, runlog, snapshots
+from millrace.operators import calendar, quality, runlog, snapshots
 from millrace.params import Params
 from millrace.plans.registry import MODELS, run_order
 from millrace.sources import staging
@@ -22,6 +22,7 @@ from millrace.sources.tables import TableStore
 MONITORING = "monitoring"
 LOGS, COUNTS, CHECKS = "etl_job_logs", "row_counts", "quality_results"
 
+CALENDAR = ("dwh", "time_series")
 PARALLEL_CHECKS = 8
 
 # The database names a run log entry carries.
@@ -108,6 +109,8 @@ def _store_model(store: TableStore, name: str, p: Params) -> DataFrame:
 
 def build_models(store: TableStore, targets: Iterable[str], p: Params) -> list[Outcome]:
     """Builds ``targets`` and the models they need from stored tables, inputs first."""
+    if not store.exists(*CALENDAR):
+        store.overwrite(*CALENDAR, calendar.time_series(store.spark))
     outcomes: list[Outcome] = []
     failed: set[str] = set()
     for name in run_order(targets):

@@ -235,3 +235,35 @@ def test_shared_dir_is_the_configured_one(spark):
     if configured:
         assert session.shared_dir(spark) == configured.rstrip("/")
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+class FakeSession:
+    """Just enough of a session to ask for its settings."""
+
+    def __init__(self, **settings):
+        self.settings = {"spark.sql.shuffle.partitions": "200", **settings}
+        self.conf = self
+        self.sparkContext = type("Context", (), {"defaultParallelism": 8000})
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession(**{"spark.master": "yarn"}))
+    named = FakeSession(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
+    assert session.shared_dir(named) == "hdfs:///shared"
+    local = FakeSession(**{"spark.master": "local[2]"})
+    assert session.shared_dir(local) == session.shared_dir(local)
+
+
+def test_shuffles_grow_with_the_cluster():
+    wide = session.tune(FakeSession(**{"spark.master": "yarn"}))
+    assert wide.get(session.INITIAL_PARTITIONS) == "24000"
+    chosen = session.tune(FakeSession(**{"spark.master": "yarn", session.INITIAL_PARTITIONS: "5"}))
+    assert chosen.get(session.INITIAL_PARTITIONS) == "5"
+    assert session.tune(FakeSession(**{"spark.master": "local[8]"})).get(session.INITIAL_PARTITIONS) is None
