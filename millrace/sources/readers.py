@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -45,6 +45,24 @@ def extract_sql_data(spark: SparkSession, query: str, options: Mapping[str, str]
     return spark.read.format("jdbc").options(**options).load()
 
 
+def hash_predicates(bucket_expression: str, parts: int) -> list[str]:
+    """One condition per reading task, for tables without an evenly spread number to split by.
+
+    ``bucket_expression`` is SQL of the source that gives a number for every row from its unique key, say
+    ``abs(hashtext(cast(id as text)))``. A row for which it is null would be lost, so those go to the first
+    task.
+    """
+    first = f"(mod({bucket_expression}, {parts}) = 0 or ({bucket_expression}) is null)"
+    return [first, *[f"mod({bucket_expression}, {parts}) = {i}" for i in range(1, parts)]]
+
+
+def extract_sql_parts(
+    spark: SparkSession, url: str, query: str, predicates: Sequence[str], properties: Mapping[str, str]
+) -> DataFrame:
+    """The result of a query over JDBC, one task per condition."""
+    return spark.read.jdbc(url, f"({query}) source_rows", predicates=list(predicates), properties=dict(properties))
+
+
 def extract_document_data(
     spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
 ) -> DataFrame:

@@ -38,6 +38,16 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", "select 1", "id")
 
 
+def test_hash_predicates_cover_every_row_once(spark):
+    rows = spark.range(100).selectExpr("if(id % 10 = 0, null, id) k")
+    rows.createOrReplaceTempView("rows_to_split")
+    counts = [
+        spark.sql(f"select count(*) n from rows_to_split where {p}").first()["n"]
+        for p in readers.hash_predicates("abs(k)", 4)
+    ]
+    assert sum(counts) == 100 and counts[0] >= 10
+
+
 def test_sql_errors_are_raised(spark):
     with pytest.raises(Exception, match="no_such_table"):
         readers.extract_sql_data(spark, "select * from no_such_table")
