@@ -33,26 +33,25 @@ def with_global_index(df: DataFrame, leading: Sequence[str], tie_keys: Sequence[
     The running total runs over one row per (leading, slice). ``leading`` therefore has to be a calendar
     column: its distinct values grow with time passed, not with the data.
     """
-    bucket = [*leading, "_slice"]
+    # One text per leading column that is never null, so that the window below and the join with the offsets
+    # hash the same plain keys and share one shuffle.
+    keys = [f"_key{i}" for i in range(len(leading))]
+    known = [
+        F.when(F.col(c).isNull(), "").otherwise(F.concat(F.lit("="), F.col(c).cast("string"))).alias(k)
+        for c, k in zip(leading, keys)
+    ]
     sliced = with_tie_digest(df, tie_keys)
-    counts = sliced.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = sliced.groupBy(*leading, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     # Missing leading values come last, as the source queries order them.
     in_order = [F.col(c).asc_nulls_last() for c in leading]
     running = Window.orderBy(*in_order, "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(c).alias(f"_o{c}") for c in bucket],
-        F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"),
-    )
-    in_bucket = Window.partitionBy(*bucket).orderBy("_digest", *tie_keys)
-    ranked = sliced.withColumn("_rank", F.row_number().over(in_bucket))
-    same_bucket = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in bucket]
-    condition = same_bucket[0]
-    for part in same_bucket[1:]:
-        condition = condition & part
+    offsets = counts.select(*known, "_slice", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"))
+    in_bucket = Window.partitionBy(*keys, "_slice").orderBy("_digest", *tie_keys)
+    ranked = sliced.select("*", *known).withColumn("_rank", F.row_number().over(in_bucket))
     return (
-        ranked.join(offsets, condition, "inner")
+        ranked.join(offsets, [*keys, "_slice"], "inner")
         .withColumn("_index", F.col("_before") + F.col("_rank") - 1)
-        .drop(*[f"_o{c}" for c in bucket])
+        .drop(*keys)
     )
 
 
