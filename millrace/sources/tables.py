@@ -32,6 +32,10 @@ class TableStore:
     spark: SparkSession
     root: str
 
+    def _ensure_schema(self, schema: str) -> None:
+        # Apart from the table folders, because dropping a schema deletes its own folder.
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{self.root}/_schemas/{schema}'")
+
     def exists(self, schema: str, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{schema}.{table}")
 
@@ -52,7 +56,7 @@ class TableStore:
         return path
 
     def point_at(self, schema: str, table: str, path: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        self._ensure_schema(schema)
         if self.exists(schema, table):
             self.spark.sql(f"ALTER TABLE `{schema}`.`{table}` SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(f"{schema}.{table}")
@@ -61,7 +65,7 @@ class TableStore:
 
     def register(self, schema: str, table: str, path: str) -> None:
         """Makes an existing parquet folder readable as a table."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        self._ensure_schema(schema)
         self.spark.sql(f"CREATE TABLE `{schema}`.`{table}` USING parquet LOCATION '{path}'")
 
     def location(self, schema: str, table: str) -> str:
@@ -75,7 +79,7 @@ class TableStore:
         Tables that exist are left alone, even if their columns changed. Only names of missing tables come
         to the driver, where table definitions are made anyway.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        self._ensure_schema(schema)
         present = self.spark.sql(f"SHOW TABLES IN `{schema}`").select(F.col("tableName").alias("table_name"))
         added = []
         for row in listing.join(present, "table_name", "left_anti").toLocalIterator():
