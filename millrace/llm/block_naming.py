@@ -78,7 +78,8 @@ def exact_groups(
     roots = None
     level = 0
     while True:
-        named = scratch.keep(_name(nodes), f"level{level}")
+        names = scratch.keep(_names(nodes), f"names{level}")
+        named = scratch.keep(nodes.join(names, ["a", "b"]).select("row", "n", "pos", "name"), f"level{level}")
         done = named.where("n = 1").select("row", F.lit(level).alias("level"), "name")
         roots = done if roots is None else roots.unionByName(done)
         if (named.agg(F.max("n")).first()[0] or 1) == 1:
@@ -96,8 +97,10 @@ def exact_groups(
 
     members = occurrences.where("pos = 0").select("row", "id", "valid", "sha", F.col("n").alias("n_blocks")).join(roots, "row")
     identity = ["level", "name", "valid"]
-    groups = members.groupBy(*identity).agg(
-        F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")
+    # Written, so that the join has a shuffle of its own, which Spark can split where copies abound.
+    groups = scratch.keep(
+        members.groupBy(*identity).agg(F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")),
+        "groups",
     )
     return members.join(groups, identity).select(
         F.col("id").alias(id_col),
@@ -109,18 +112,17 @@ def exact_groups(
     )
 
 
-def _name(nodes: DataFrame) -> DataFrame:
-    """Replaces the pair (a, b) of every node by the integer name of that pair.
+def _names(nodes: DataFrame) -> DataFrame:
+    """An integer name for every distinct pair (a, b) of the nodes.
 
     Names follow the order of the pairs within a partition; equal pairs are merged before they are shuffled.
     """
-    names = (
-        nodes.groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    return (
+        nodes.select("a", "b")
+        .distinct()
         .sortWithinPartitions("a", "b")
         .select("a", "b", F.monotonically_increasing_id().alias("name"))
     )
-    return nodes.join(names, ["a", "b"]).select("row", "n", "pos", "name")
 
 
 def _tell_apart(source, occurrences, shared, distinct, blocks, digest, scratch) -> DataFrame:

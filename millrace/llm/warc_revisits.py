@@ -44,7 +44,8 @@ def resolve_revisits(
         F.sha1(body).alias("sha1"),
         F.sha2(body, 256).alias("sha256"),
     )
-    headers = Scratch(pages.sparkSession, "warc-headers").keep(headers, "headers")
+    scratch = Scratch(pages.sparkSession, "warc-headers")
+    headers = scratch.keep(headers, "headers")
     same = ["sha1", "sha256"]
     first = (
         headers.where(F.col("bytes") >= min_bytes)
@@ -53,6 +54,7 @@ def resolve_revisits(
         .where("copies > 1")
         .drop("copies")
     )
+    first = scratch.keep(first, "first")  # the join then has a shuffle of its own, which Spark can split
     revisit = (F.col("row") != F.col("first.row")) & (F.col("bytes") >= min_bytes)
     return headers.join(first, same, "left").select(
         "row",
