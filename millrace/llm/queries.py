@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import block_naming, chat_parts, warc_revisits
+from millrace.llm import block_naming, byte_cnn, chat_parts, raking, warc_revisits, window_packing
 from millrace.llm.scratch import Scratch
 from millrace.session import fresh_path
 
 WARC_DATE = "2024-06-01T00:00:00Z"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+HELD_OUT_PART = 2
 EXTRA_CONVERSATION = -7
 EXTRA_TEXT = "\\### Assistant: </turn> ok"
 
@@ -48,6 +51,113 @@ def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: Column) -> Column:
+    """Documents that teach nothing; a null id is held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT_PART, F.lit(True))
+
+
+def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
+    model = byte_cnn.fit(docs.where("NOT held_out"))
+    return byte_cnn.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+# The lexical field of a text: the range of initial letters that most of its words have.
+FIELDS = {"a-d": "[a-dA-D]", "e-n": "[e-nE-N]", "o-z": "[o-zO-Z]"}
+WORD_START = r"(^|[\x20\x09-\x0D])"
+BUDGET_SHARE = 0.6
+MIX_SEED = 11
+SOURCE_TARGETS = {"src0": 0.2, "src1": 0.05, raking.REST: 0.75}
+LANG_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1, raking.REST: 0.0}
+TOPIC_TARGETS = {"a-d": 0.15, "e-n": 0.35, "o-z": 0.5, raking.REST: 0.0}
+
+
+def topic(text: Column) -> Column:
+    counts = [F.coalesce(F.regexp_count(text, F.lit(WORD_START + letters)), F.lit(0)) for letters in FIELDS.values()]
+    out = F.lit(list(FIELDS)[-1])
+    for name, count in reversed(list(zip(FIELDS, counts, strict=True))[:-1]):
+        out = F.when(count == F.greatest(*counts), F.lit(name)).otherwise(out)
+    return out
+
+
+def margins() -> list[raking.Margin]:
+    return [
+        raking.Margin("source", F.col("source"), SOURCE_TARGETS),
+        raking.Margin("lang", F.col("lang"), LANG_TARGETS),
+        raking.Margin("topic", topic(F.col("text")), TOPIC_TARGETS),
+    ]
+
+
+def op9_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return raking.mix(docs, margins(), BUDGET_SHARE, seed=MIX_SEED).select(
+        "doc_id",
+        F.col("mix_tokens").alias("tokens"),
+        F.col("mix_source").alias("source_class"),
+        F.col("mix_lang").alias("lang_class"),
+        F.col("mix_topic").alias("topic_class"),
+        F.round("mix_probability", 6).alias("probability"),
+        F.col("mix_drawn").alias("drawn"),
+    )
+
+
+def _class_sql(value: str, targets: dict) -> str:
+    named = [v for v in targets if v is not raking.REST]
+    return "CASE " + " ".join(f"WHEN {value} = '{v}' THEN {i}" for i, v in enumerate(named)) + f" ELSE {len(named)} END"
+
+
+def _share_sql(margin: str, targets: dict) -> str:
+    shares = [w for v, w in targets.items() if v is not raking.REST] + [targets.get(raking.REST, 0.0)]
+    return " UNION ALL ".join(f"SELECT '{margin}' AS margin, {i} AS class, {w}::DOUBLE AS share" for i, w in enumerate(shares))
+
+
+def _mix_sql(documents: str = "documents") -> str:
+    """The raking as SQL: one step of the recursion scales one margin."""
+    fields = ", ".join(
+        f"len(regexp_extract_all(coalesce(text, ''), '{WORD_START}{letters}')) AS n{i}" for i, letters in enumerate(FIELDS.values())
+    )
+    names = list(FIELDS)
+    first = " ".join(f"WHEN n{i} = greatest(n0, n1, n2) THEN '{n}'" for i, n in enumerate(names[:-1]))
+    axes = (("source", "s"), ("lang", "l"), ("topic", "t"))
+    step = "CASE " + " ".join(
+        f"WHEN r.step % 3 = {k} THEN coalesce(g{a}.goal / nullif(sum(r.wanted) OVER (PARTITION BY r.{a}), 0), 0)" for k, (_, a) in enumerate(axes)
+    ) + " END"
+    goals = ", ".join(
+        f"""goal_{a} AS (
+            SELECT class, {BUDGET_SHARE} * (SELECT sum(tokens) FROM cells) * share
+                   / nullif(sum(share) OVER (), 0) AS goal
+            FROM shares WHERE margin = '{m}' AND class IN (SELECT {a} FROM cells GROUP BY {a} HAVING sum(tokens) > 0)
+        )"""
+        for m, a in axes
+    )
+    joins = " ".join(f"LEFT JOIN goal_{a} g{a} ON g{a}.class = r.{a}" for _, a in axes)
+    return f"""
+        WITH RECURSIVE counted AS (
+            SELECT *, len(regexp_extract_all(coalesce(text, ''), '{raking.WORD}')) AS tokens, {fields} FROM {documents}
+        ), classed AS (
+            SELECT *, {_class_sql("source", SOURCE_TARGETS)} AS s, {_class_sql("lang", LANG_TARGETS)} AS l,
+                   {_class_sql(f"(CASE {first} ELSE '{names[-1]}' END)", TOPIC_TARGETS)} AS t
+            FROM counted
+        ), shares AS ({_share_sql("source", SOURCE_TARGETS)} UNION ALL {_share_sql("lang", LANG_TARGETS)}
+            UNION ALL {_share_sql("topic", TOPIC_TARGETS)}
+        ), cells AS (SELECT s, l, t, sum(tokens)::DOUBLE AS tokens FROM classed GROUP BY s, l, t
+        ), {goals}, raked AS (
+            SELECT 0 AS step, s, l, t, tokens, tokens * {BUDGET_SHARE} AS wanted FROM cells
+            UNION ALL
+            SELECT r.step + 1, r.s, r.l, r.t, r.tokens, least(r.tokens, r.wanted * {step})
+            FROM raked r {joins} WHERE r.step < {3 * raking.ROUNDS}
+        ), mixed AS (
+            SELECT c.*, CASE WHEN c.tokens > 0 THEN r.wanted / r.tokens ELSE {BUDGET_SHARE} END AS p,
+                   ('0x' || substr(md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / {float(1 << 52)} AS u
+            FROM classed c JOIN raked r ON r.step = {3 * raking.ROUNDS} AND r.s = c.s AND r.l = c.l AND r.t = c.t
+        )
+    """
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archives")
     warc_revisits.write_archives(table(spark, sf_dir, "pages"), path, WARC_DATE)
@@ -59,6 +169,9 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_block_naming": op1_block_naming,
     "op4_chat_parts": op4_chat_parts,
+    "op6_byte_cnn": op6_byte_cnn,
+    "op8_window_packing": op8_window_packing,
+    "op9_raking": op9_raking,
     "op10_warc_revisits": op10_warc_revisits,
 }
 
@@ -90,6 +203,10 @@ ORACLE_SQL = {
                formatted_chars
         FROM whole
     """,
+    "op9_raking": f"""{_mix_sql()}
+        SELECT doc_id, tokens, s AS source_class, l AS lang_class, t AS topic_class, round(p, 6) AS probability, u < p AS drawn
+        FROM mixed
+    """,
     "op10_warc_revisits": f"""
         WITH sized AS (
             SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS bytes FROM pages
