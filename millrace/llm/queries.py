@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import block_naming, byte_cnn, chat_parts, raking, warc_revisits, window_packing
+from millrace.llm import (
+    block_naming,
+    byte_cnn,
+    chat_parts,
+    label_propagation,
+    pivot_search,
+    raking,
+    warc_revisits,
+    window_packing,
+)
 from millrace.llm.scratch import Scratch
 from millrace.session import fresh_path
 
@@ -51,6 +60,31 @@ def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+QUERY_STEP = 50
+TOP = 5
+SCALE = 256
+
+
+def op5_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % QUERY_STEP == 0, TOP, float(SCALE))
+
+
+SHARDS = 8
+
+
+def op7_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_propagation.balanced_shards(table(spark, sf_dir, "documents"), SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit(label_propagation.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "links",
+    )
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that teach nothing; a null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT_PART, F.lit(True))
@@ -169,7 +203,9 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_block_naming": op1_block_naming,
     "op4_chat_parts": op4_chat_parts,
+    "op5_pivot_search": op5_pivot_search,
     "op6_byte_cnn": op6_byte_cnn,
+    "op7_label_propagation": op7_label_propagation,
     "op8_window_packing": op8_window_packing,
     "op9_raking": op9_raking,
     "op10_warc_revisits": op10_warc_revisits,
@@ -203,6 +239,18 @@ ORACLE_SQL = {
                formatted_chars
         FROM whole
     """,
+    "op5_pivot_search": f"""
+        WITH scaled AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM scaled q JOIN scaled c ON c.vec_id <> q.vec_id WHERE q.vec_id % {QUERY_STEP} = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+        )
+        SELECT * FROM ranked WHERE rank <= {TOP}
+    """,
     "op9_raking": f"""{_mix_sql()}
         SELECT doc_id, tokens, s AS source_class, l AS lang_class, t AS topic_class, round(p, 6) AS probability, u < p AS drawn
         FROM mixed
