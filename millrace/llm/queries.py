@@ -101,8 +101,7 @@ def op8_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The lexical field of a text: the range of initial letters that most of its words have.
-FIELDS = {"a-d": "[a-dA-D]", "e-n": "[e-nE-N]", "o-z": "[o-zO-Z]"}
-WORD_START = r"(^|[\x20\x09-\x0D])"
+FIELDS = ("a-d", "e-n", "o-z")
 BUDGET_SHARE = 0.6
 MIX_SEED = 11
 SOURCE_TARGETS = {"src0": 0.2, "src1": 0.05, raking.REST: 0.75}
@@ -110,25 +109,29 @@ LANG_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1, raking.REST: 0.0}
 TOPIC_TARGETS = {"a-d": 0.15, "e-n": 0.35, "o-z": 0.5, raking.REST: 0.0}
 
 
-def topic(text: Column) -> Column:
-    counts = [F.coalesce(F.regexp_count(text, F.lit(WORD_START + letters)), F.lit(0)) for letters in FIELDS.values()]
-    out = F.lit(list(FIELDS)[-1])
-    for name, count in reversed(list(zip(FIELDS, counts, strict=True))[:-1]):
-        out = F.when(count == F.greatest(*counts), F.lit(name)).otherwise(out)
+def topic(counts: Column) -> Column:
+    """The field with most words, the first of those with as many."""
+    each = [counts[f"n{i}"] for i in range(len(FIELDS))]
+    out = F.lit(FIELDS[-1])
+    for name, count in reversed(list(zip(FIELDS, each, strict=True))[:-1]):
+        out = F.when(count == F.greatest(*each), F.lit(name)).otherwise(out)
     return out
 
 
-def margins() -> list[raking.Margin]:
-    return [
+def mixture(docs: DataFrame) -> tuple[DataFrame, list[raking.Margin], Column]:
+    """``docs`` with the column __words, and the margins and token weights that are based on it."""
+    counted = docs.withColumn("__words", raking.initials(F.col("text"), FIELDS))
+    found = [
         raking.Margin("source", F.col("source"), SOURCE_TARGETS),
         raking.Margin("lang", F.col("lang"), LANG_TARGETS),
-        raking.Margin("topic", topic(F.col("text")), TOPIC_TARGETS),
+        raking.Margin("topic", topic(F.col("__words")), TOPIC_TARGETS),
     ]
+    return counted, found, F.col("__words")["n"]
 
 
 def op9_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return raking.mix(docs, margins(), BUDGET_SHARE, seed=MIX_SEED).select(
+    docs, margins, tokens = mixture(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    return raking.mix(docs, margins, BUDGET_SHARE, tokens, seed=MIX_SEED, drop=("text", "__words")).select(
         "doc_id",
         F.col("mix_tokens").alias("tokens"),
         F.col("mix_source").alias("source_class"),
@@ -151,10 +154,11 @@ def _share_sql(margin: str, targets: dict) -> str:
 
 def _mix_sql(documents: str = "documents") -> str:
     """The raking as SQL: one step of the recursion scales one margin."""
+    start = r"(^|[\x20\x09-\x0D])"
     fields = ", ".join(
-        f"len(regexp_extract_all(coalesce(text, ''), '{WORD_START}{letters}')) AS n{i}" for i, letters in enumerate(FIELDS.values())
+        f"len(regexp_extract_all(coalesce(text, ''), '{start}[{r}{r.upper()}]')) AS n{i}" for i, r in enumerate(FIELDS)
     )
-    names = list(FIELDS)
+    names = FIELDS
     first = " ".join(f"WHEN n{i} = greatest(n0, n1, n2) THEN '{n}'" for i, n in enumerate(names[:-1]))
     axes = (("source", "s"), ("lang", "l"), ("topic", "t"))
     step = "CASE " + " ".join(

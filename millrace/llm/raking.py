@@ -16,13 +16,16 @@ cell. An empty table gives an empty result. The columns of the table pass throug
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from millrace.llm.scratch import Scratch
+
 ROUNDS = 40
 MAX_CELLS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +59,31 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def initials(text: Column, ranges: Sequence[str]) -> Column:
+    """A struct: n, the number of words, and n0, n1, ... of those whose first letter is in each range, as in a-d; null has none."""
+    tables = []
+    for first, last in ((r[0], r[-1]) for r in ranges):
+        table = np.zeros(256, bool)
+        for letter in (first, first.upper()):
+            table[ord(letter) : ord(letter) + ord(last) - ord(first) + 1] = True
+        tables.append(table)
+    space = np.zeros(256, bool)
+    space[[0x20, *range(0x09, 0x0E)]] = True
+
+    @F.pandas_udf("struct<n: long, " + ", ".join(f"n{i}: long" for i in range(len(ranges))) + ">")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for t in texts:
+                body = np.frombuffer(b" " if t is None else b" " + t.encode(), np.uint8)
+                gap = space[body]
+                first = body[1:][gap[:-1] & ~gap[1:]]
+                rows.append([len(first), *(int(table[first].sum()) for table in tables)])
+            yield pd.DataFrame(rows, columns=["n", *(f"n{i}" for i in range(len(ranges)))])
+
+    return count(text)
+
+
 def rake(tokens: np.ndarray, shares: Sequence[np.ndarray], budget_share: float, rounds: int = ROUNDS) -> np.ndarray:
     """Wanted tokens of every cell; axis m of ``tokens`` holds the classes of margin m."""
     budget = budget_share * tokens.sum()
@@ -90,15 +118,23 @@ def mix(
     seed: int = 11,
     rounds: int = ROUNDS,
     prefix: str = "mix_",
+    drop: Sequence[str] = (),
 ) -> DataFrame:
-    """``docs`` with the columns tokens, probability and drawn, and the class index of every margin, under ``prefix``."""
+    """``docs`` with the columns tokens, probability and drawn, and the class index of every margin, under ``prefix``.
+
+    Columns in ``drop`` are used for margins and tokens and then left out.
+    """
     spark = docs.sparkSession
     sizes = [len(m.classes()) + 1 for m in margins]
     if np.prod(sizes) > MAX_CELLS:
         raise ValueError(f"the targets make more than {MAX_CELLS} cells")
     names = [f"{prefix}{m.name}" for m in margins]
-    classed = docs.withColumns(
-        {f"{prefix}tokens": words(F.col(text_col)) if tokens is None else tokens} | {n: m.index() for n, m in zip(names, margins, strict=True)}
+    # Written, so that classes and counts are worked out once.
+    classed = Scratch(spark, "raking").keep(
+        docs.withColumns(
+            {f"{prefix}tokens": words(F.col(text_col)) if tokens is None else tokens} | {n: m.index() for n, m in zip(names, margins, strict=True)}
+        ).drop(*drop),
+        "classed",
     )
     table = np.zeros(sizes)
     for r in classed.groupBy(*names).agg(F.sum(f"{prefix}tokens").alias("tokens")).collect():
