@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.llm.scratch import Scratch, skew_aware, unit
 
 ROUNDS = 6
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4096
 LAW = "rows"
 
 
@@ -129,7 +129,7 @@ def balanced_shards(
     )
     labels = _propagate(linked, scratch, quota, rounds).select("row", "label")
 
-    slices = max(1, math.ceil(total / n_shards / slice_rows))
+    slices = max(1, math.ceil(total / slice_rows))
     labelled = scratch.keep(
         rows.drop("g")
         .join(labels, "row", "left")
