@@ -12,6 +12,7 @@ from millrace.llm import (
     label_propagation,
     pivot_search,
     raking,
+    relative_lz,
     warc_revisits,
     window_packing,
 )
@@ -33,6 +34,12 @@ def op1_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_lz.duplicate_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(
@@ -206,6 +213,7 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_block_naming": op1_block_naming,
+    "op2_relative_lz": op2_relative_lz,
     "op4_chat_parts": op4_chat_parts,
     "op5_pivot_search": op5_pivot_search,
     "op6_byte_cnn": op6_byte_cnn,
@@ -222,6 +230,25 @@ ORACLE_SQL = {
                greatest(1, (length(coalesce(text, '')) + {block_naming.BLOCK_CHARS - 1}) // {block_naming.BLOCK_CHARS}) AS n_blocks
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op2_relative_lz": f"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{raking.WORD}') AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, unnest(range(1, len(words) - {relative_lz.WINDOW - 2})) AS start, words FROM split
+        ), keyed AS (
+            SELECT doc_id, start, md5(array_to_string(words[start : start + {relative_lz.WINDOW - 1}], ' ')) AS gram FROM windows
+        ), firsts AS (SELECT gram, min(doc_id) AS least FROM keyed GROUP BY gram
+        ), covered AS (
+            SELECT DISTINCT doc_id, unnest(range(start, start + {relative_lz.WINDOW})) AS place
+            FROM keyed JOIN firsts USING (gram) WHERE least < doc_id
+        ), gone AS (SELECT doc_id, list(place) AS places FROM covered GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+                   CASE WHEN places IS NULL THEN words ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END AS kept
+            FROM split LEFT JOIN gone USING (doc_id)
+        )
+        SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM kept
+    """,
     "op4_chat_parts": f"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
