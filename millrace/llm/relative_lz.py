@@ -112,7 +112,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            for rows, bodies in by_size(range(batch.num_rows), [x.as_py() for x in batch.column(2)]):
+            for rows, bodies in by_size(range(batch.num_rows), (x.as_py() for x in batch.column(2))):
                 found = block_index(*word_digests(bodies), window, gram)
                 if len(found["text"]):
                     at = np.array(rows)[found["text"]]
@@ -148,7 +148,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, bodies in by_size(range(batch.num_rows), [zlib.decompress(x.as_py()) for x in batch.column(1)]):
+            for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column(1))):
                 first, words = word_digests(bodies)
                 lists = batch.column(2).take(pa.array(rows))
                 per_text = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)

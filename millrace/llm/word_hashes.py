@@ -6,12 +6,12 @@ polynomials modulo 2**64 over prefix sums, finished by mixing; two families with
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-BYTES_AT_ONCE = 1 << 22
+BYTES_AT_ONCE = 1 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS: dict[int, np.ndarray] = {}
@@ -21,10 +21,9 @@ def _powers(base: int, n: int) -> np.ndarray:
     """Powers of the base and of its inverse, at least n of each."""
     found = _POWERS.get(base)
     if found is None or found.shape[1] < n:
-        step = np.full((2, 2 * n + 1), base, np.uint64)
+        step = np.full((2, n + n // 4), base, np.uint64)
         step[1] = pow(base, -1, 1 << 64)
         step[:, 0] = 1
-        _POWERS.clear() if n > 1 << 24 else None
         found = _POWERS[base] = np.multiply.accumulate(step, axis=1)
     return found
 
@@ -49,16 +48,28 @@ def word_digests(bodies: Sequence[bytes], families: int = 2) -> tuple[np.ndarray
     """Where each text's words begin in the sequence of all words (one more entry than texts), and the words' digests."""
     text = np.frombuffer(b"\n".join(bodies) + b"\n", np.uint8)
     gap = SPACES[text]
-    edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-    start, end = (edge[::2], edge[1::2]) if gap[0] else (np.concatenate([[0], edge[1::2]]), edge[::2])
-    values = text.astype(np.uint64) + np.uint64(1)
-    digests = [range_digests(values, start, end, base) for base in BASES[:families]]
+    starts, found, at = [], [[] for _ in range(families)], 0
+    while at < len(text):
+        # A long text is read in stretches that end between words.
+        stop = min(at + BYTES_AT_ONCE, len(text))
+        stop += int(gap[stop - 1 :].argmax())
+        part = gap[at:stop]
+        edge = np.flatnonzero(part[1:] != part[:-1]) + 1
+        start, end = (edge[::2], edge[1::2]) if part[0] else (np.concatenate([[0], edge[1::2]]), edge[::2])
+        values = text[at:stop].astype(np.uint64)
+        values += np.uint64(1)
+        for digests, base in zip(found, BASES, strict=False):
+            digests.append(range_digests(values, start, end, base))
+        starts.append(start + at)
+        at = stop
+    start = np.concatenate(starts)
+    digests = [np.concatenate(d) for d in found]
     ends = np.cumsum([len(b) + 1 for b in bodies])
     first = np.concatenate([[0], np.searchsorted(start, ends)])
     return first, digests
 
 
-def by_size(keys: Sequence, bodies: Sequence[bytes]) -> Iterator[tuple[list, list[bytes]]]:
+def by_size(keys: Iterable, bodies: Iterable[bytes]) -> Iterator[tuple[list, list[bytes]]]:
     """Consecutive texts, about BYTES_AT_ONCE at a time."""
     held_keys, held, size = [], [], 0
     for key, body in zip(keys, bodies, strict=True):
