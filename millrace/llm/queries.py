@@ -10,6 +10,7 @@ from millrace.llm import (
     byte_cnn,
     chat_parts,
     label_propagation,
+    order_minhash,
     pivot_search,
     raking,
     relative_lz,
@@ -40,6 +41,10 @@ def op2_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(
@@ -214,6 +219,7 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_block_naming": op1_block_naming,
     "op2_relative_lz": op2_relative_lz,
+    "op3_order_minhash": op3_order_minhash,
     "op4_chat_parts": op4_chat_parts,
     "op5_pivot_search": op5_pivot_search,
     "op6_byte_cnn": op6_byte_cnn,
