@@ -7,10 +7,12 @@ candidate pair is a link if the Jaccard similarity of the labelled k-mers is at
 so many edits at most as that share of the longer text leaves, searched on the diagonals within that band only.
 
 Texts with the same words are merged first, so copies never form pairs. In a bucket of texts with one sketch every member is
-first compared to one pivot; only members that end up in different components are compared further: pairwise in
-buckets of up to ``SMALL``, while larger ones are split by a second shared sketch and start again. What is still large
-after ``DEPTH`` splits is compared pairwise all the same, so no candidate pair between different components is
-left out. Only pairs whose numbers of k-mers allow the similarity are compared, which loses none.
+first compared to one pivot. Members that end up in different components are candidates still, but most of them share only a
+passage or are edited too much; so they are compared further only if they share one of their rarest k-mers. Two texts
+as similar as asked always do, if each lists as many as it may have beyond the common ones, plus one. Among texts with
+such a k-mer, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
+turn, then with each other. No candidate pair between different components is left out: only pairs that cannot have the
+similarity, by their numbers of k-mers or their rare ones, are not compared.
 
 Edge cases: a null or wordless text is in a class of its own. Texts of fewer than five words have all their words as
 one k-mer. Repeated rows share a class. Of a class the row with the least id stays; a null id comes last. An empty
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.block_naming import keep_rows
 from millrace.llm.components import components
@@ -36,7 +38,7 @@ TUPLE = 3
 SKETCHES = 16
 SIMILARITY = 0.8
 SMALL = 32
-DEPTH = 3
+STARS = 4
 # Up to so many edits the diagonals are walked one by one, beyond that all at once.
 FEW_EDITS = 24
 SEEDS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(BASES[0]))
@@ -289,38 +291,70 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
     )
     verifier = _Verifier(scratch, texts, similarity)
     alike = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n")
-    depth = 0
-    while True:
-        star = buckets.where("label <> pivot.label").withColumn("other_n", F.col("pivot.n")).where(alike)
-        labels = verifier.labels(star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")))
-        buckets = _open(_labelled(buckets.select("key", "node", "n"), labels), scratch, f"rest{depth}")
-        few = buckets if depth == DEPTH else buckets.where(F.col("size") <= SMALL)
-        other = few.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"))
-        pairs = few.join(other, "key").where((F.col("node") < F.col("other")) & (F.col("label") != F.col("other_label"))).where(alike)
-        # Pairs with the pivot have been compared.
-        pairs = pairs.where("node <> pivot.node").select(F.col("node").alias("a"), F.col("other").alias("b"))
-        if not buckets.isEmpty():
-            labels = verifier.labels(pairs)
-        many = buckets.where(F.col("size") > SMALL)
-        if depth == DEPTH or many.isEmpty():
-            break
-        depth += 1
-        finer = (
-            many.select("key", "node", "n")
-            .join(nodes.select("node", "sketches"), "node")
-            .select("node", "n", "key", F.posexplode("sketches"))
-            .where("col <> key")
-            .select(F.xxhash64(F.least("key", "col"), F.greatest("key", "col")).alias("key"), "node", "n")
-            .distinct()
-        )
-        buckets = _open(_labelled(finer, labels), scratch, f"finer{depth}")
+    labels = verifier.labels(_with_pivot(buckets, alike))
+    buckets = _open(_labelled(buckets.select("key", "node", "n"), labels), scratch, "rest")
+    for turn in range(STARS + 1):
         if buckets.isEmpty():
             break
+        if turn == 0:
+            rare = _rare_kmers(texts, buckets.select("node", "n").distinct(), similarity, scratch)
+            buckets = _open(_labelled(rare, labels), scratch, "rare")
+        large = buckets.where(F.col("size") > SMALL) if turn < STARS else buckets.limit(0)
+        small = buckets.where(F.col("size") <= SMALL) if turn < STARS else buckets
+        labels = verifier.labels(_with_pivot(large, alike).union(_with_each_other(small, alike)))
+        # Small buckets are done with, and so are the pivots of the large ones.
+        left = large.where("node <> pivot.node").select("key", "node", "n")
+        buckets = _open(_labelled(left, labels), scratch, f"left{turn}")
     pairs = verifier.links.distinct()
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
     return labels, scratch.keep(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "degrees")
 
 
+def _with_pivot(buckets: DataFrame, alike) -> DataFrame:
+    """A pair for every member that is in another component than the pivot of its bucket."""
+    star = buckets.where("label <> pivot.label").withColumn("other_n", F.col("pivot.n")).where(alike)
+    return star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+
+
+def _with_each_other(buckets: DataFrame, alike) -> DataFrame:
+    """The pairs of members that are in different components."""
+    other = buckets.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"))
+    pairs = buckets.join(other, "key").where((F.col("node") < F.col("other")) & (F.col("label") != F.col("other_label"))).where(alike)
+    return pairs.select(F.col("node").alias("a"), F.col("other").alias("b"))
+
+
+def _rare_kmers(texts: DataFrame, nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """The rarest k-mers of every node (key, node, n), so many that two nodes as similar as asked must share one.
+
+    A text most of whose k-mers no other text here has cannot be that similar to any, and has none.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column(2))):
+                first, words = word_digests(bodies, families=1)
+                starts, kmers = labelled_kmers(first, words[0])
+                at = np.repeat(np.array(rows), np.diff(starts))
+                node, n = (batch.column(c).to_numpy(zero_copy_only=False)[at] for c in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(kmers.view(np.int64))], names=["node", "n", "key"])
+
+    asked = texts.join(nodes, "node").select("node", "n", "z")
+    kmers = scratch.keep(asked.mapInArrow(cut, "node long, n long, key long"), "kmers")
+    common = scratch.keep(kmers.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "common")
+    shared = scratch.keep(kmers.join(common, "key"), "shared")
+    scratch.drop("kmers")
+    needed = F.ceil(F.col("n") * similarity - 1e-9)
+    enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n_shared"), F.max("n").alias("n")).where(F.col("n_shared") >= needed)
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "key"))
+    return scratch.keep(
+        shared.join(enough.select("node", "n_shared"), "node")
+        .withColumn("rank", rank)
+        .where(F.col("rank") <= F.col("n_shared") - needed + 1)
+        .select("key", "node", "n"),
+        "prefixes",
+    )
+
+
 def _classes(rows, nodes, found, scratch, id_col) -> DataFrame:
     if found is None:
         named = nodes.select("w1", "w2", F.col("node").alias("class"), F.lit(0).cast("long").alias("links"))
