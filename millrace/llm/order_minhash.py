@@ -210,10 +210,10 @@ def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open(buckets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The rows (key, node, n, label) of buckets with more than one label, with the bucket's pivot and size."""
+    """The rows (key, node, n, room, pick, label) of buckets with more than one label, with the bucket's pivot (most of ``pick``) and size."""
     several = scratch.keep(
         buckets.groupBy("key")
-        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min(F.struct("node", "n", "label")).alias("pivot"), F.count(F.lit(1)).alias("size"))
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max(F.struct("pick", "node", "n", "room", "label")).alias("pivot"), F.count(F.lit(1)).alias("size"))
         .where("least < most")
         .select("key", "pivot", "size"),
         f"{name}-several",
@@ -267,7 +267,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.monotonically_increasing_id().alias("node"), "w1", "w2", "of.id", "of.th", "of.n", "of.sketches"),
         "nodes",
     )
-    singles = nodes.select("node", "n", F.explode("sketches").alias("key")).withColumn("label", F.col("node"))
+    singles = nodes.select("node", "n", F.col("n").alias("room"), (-F.col("node")).alias("pick"), F.explode("sketches").alias("key")).withColumn("label", F.col("node"))
     buckets = _open(singles, scratch, "buckets")
     labels = None
     if not buckets.isEmpty():
@@ -290,9 +290,9 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
         packed.join(wanted, packed["id"].eqNullSafe(wanted["node_id"]) & (packed["th"] == wanted["node_th"])).select("node", "z"), "texts"
     )
     verifier = _Verifier(scratch, texts, similarity)
-    alike = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n")
+    alike = F.least("room", "other_room") >= F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - 1e-6)
     labels = verifier.labels(_with_pivot(buckets, alike))
-    buckets = _open(_labelled(buckets.select("key", "node", "n"), labels), scratch, "rest")
+    buckets = _open(_labelled(buckets.select("key", "node", "n", "room", "pick"), labels), scratch, "rest")
     for turn in range(STARS + 1):
         if buckets.isEmpty():
             break
@@ -303,7 +303,7 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
         small = buckets.where(F.col("size") <= SMALL) if turn < STARS else buckets
         labels = verifier.labels(_with_pivot(large, alike).union(_with_each_other(small, alike)))
         # Small buckets are done with, and so are the pivots of the large ones.
-        left = large.where("node <> pivot.node").select("key", "node", "n")
+        left = large.where("node <> pivot.node").select("key", "node", "n", "room", "pick")
         buckets = _open(_labelled(left, labels), scratch, f"left{turn}")
     pairs = verifier.links.distinct()
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
@@ -312,19 +312,24 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
 
 def _with_pivot(buckets: DataFrame, alike) -> DataFrame:
     """A pair for every member that is in another component than the pivot of its bucket."""
-    star = buckets.where("label <> pivot.label").withColumn("other_n", F.col("pivot.n")).where(alike)
+    star = buckets.where("label <> pivot.label").withColumns({"other_n": F.col("pivot.n"), "other_room": F.col("pivot.room")}).where(alike)
     return star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
 
 
 def _with_each_other(buckets: DataFrame, alike) -> DataFrame:
     """The pairs of members that are in different components."""
-    other = buckets.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"))
+    other = buckets.select(
+        "key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"), F.col("room").alias("other_room")
+    )
     pairs = buckets.join(other, "key").where((F.col("node") < F.col("other")) & (F.col("label") != F.col("other_label"))).where(alike)
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
 def _rare_kmers(texts: DataFrame, nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """The rarest k-mers of every node (key, node, n), so many that two nodes as similar as asked must share one.
+    """The rarest k-mers of every node (key, node, n, room), so many that two nodes as similar as asked must share one.
+
+    ``room`` is the number of k-mers from this one on that others have too. For the first k-mer that two nodes share it bounds how
+    many they share, so a pair is only made where both have room enough.
 
     A text most of whose k-mers no other text here has cannot be that similar to any, and has none.
     """
@@ -350,7 +355,7 @@ def _rare_kmers(texts: DataFrame, nodes: DataFrame, similarity: float, scratch:
         shared.join(enough.select("node", "n_shared"), "node")
         .withColumn("rank", rank)
         .where(F.col("rank") <= F.col("n_shared") - needed + 1)
-        .select("key", "node", "n"),
+        .select("key", "node", "n", (F.col("n_shared") - F.col("rank") + 1).alias("room"), F.col("n_shared").alias("pick")),
         "prefixes",
     )
 
