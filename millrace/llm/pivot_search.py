@@ -35,6 +35,9 @@ QUERY_BLOCK = 1024
 GROUP_ROWS = 65_536
 FIRST_EVALUATED = 64
 LONG = (-(1 << 63), (1 << 63) - 1)
+# Digits for scores beyond a long, of doubles of any size; as text of one width they sort as numbers.
+WIDTH = 700
+WIDEST = 10 ** (WIDTH - 1)
 BLOCK_SCHEMA = "block long, dim int, ids binary, body binary, distances binary"
 
 
@@ -205,18 +208,18 @@ def top_k(
                 found = _best_of_block(q, q_ids, q_dist, x, x_ids, x_dist, k)
                 if found:
                     digest = [zlib.crc32(q[i].tobytes()) for i, *_ in found]
-                    columns = [[f[1] for f in found], digest, [f[2] for f in found], [str(f[3]) for f in found]]
+                    score = [min(max(f[3], LONG[0]), LONG[1]) for f in found]
+                    columns = [[f[1] for f in found], digest, [f[2] for f in found], score]
+                    beyond = ["" if LONG[0] < s < LONG[1] else str(WIDEST + f[3]).zfill(WIDTH) for s, f in zip(score, found, strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
-                        names=["query_id", "vector", "vec_id", "score"],
+                        [*(pa.array(c, pa.int64()) for c in columns), pa.array(beyond, pa.string())],
+                        names=["query_id", "vector", "vec_id", "score", "beyond"],
                     )
 
-    found = pairs.mapInArrow(search, "query_id long, vector long, vec_id long, score string")
-    exact = F.col("score").cast("decimal(38,0)")
-    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("value"), "vec_id")
+    found = pairs.mapInArrow(search, "query_id long, vector long, vec_id long, score long, beyond string")
+    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return (
-        found.withColumn("value", exact)
-        .withColumn("rank", F.row_number().over(order))
+        found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", F.greatest(F.least("value", F.lit(str(LONG[1])).cast("decimal(38,0)")), F.lit(str(LONG[0])).cast("decimal(38,0)")).cast("long").alias("score"))
+        .select("query_id", "rank", "vec_id", "score")
     )
