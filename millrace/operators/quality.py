@@ -6,6 +6,7 @@ aggregate that counts all violations, and one shuffle that checks all id columns
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -175,13 +176,16 @@ def type_results(df: DataFrame, table: str, expected: Mapping[str, object]) -> l
 
 
 def outlier_results(df: DataFrame, table: str, found: Profile, limits: Limits = Limits()) -> list[Column]:
-    """Values further from the mean than ``outlier_score`` sample deviations; none if the deviation is 0."""
+    """Values further from the mean than ``outlier_score`` sample deviations.
+
+    None if the deviation is 0, or if infinite values leave no finite mean and deviation.
+    """
     results = []
     for c in numeric_columns(df):
         mean, deviation = found.mean[c], found.deviation[c]
         far = (
             F.count_if(F.abs(usable(c) - mean) / deviation > limits.outlier_score)
-            if deviation
+            if deviation and math.isfinite(deviation) and math.isfinite(mean)
             else F.lit(0)
         )
         results.append(_result(table, c, NOT_IN_SET, F.count(usable(c)), far, limits.outlier_mostly))

@@ -133,6 +133,25 @@ def _bounded(x: float) -> float:
     return max(min(x, 1.7976931348623157e308), -1.7976931348623157e308)
 
 
+def _infinite(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, int, float, float]]:
+    """Per column the numbers of infinite values at both ends, and the range of the finite ones."""
+    if not columns:
+        return {}
+    wanted = []
+    for i, c in enumerate(columns):
+        finite = F.when(F.abs(usable(c)) < math.inf, usable(c))
+        wanted += [
+            F.count_if(usable(c) == -math.inf).alias(f"below{i}"),
+            F.count_if(usable(c) == math.inf).alias(f"above{i}"),
+            F.min(finite).alias(f"low{i}"),
+            F.max(finite).alias(f"high{i}"),
+        ]
+    found = df.agg(*wanted).first()
+    return {
+        c: tuple(found[f"{part}{i}"] for part in ("below", "above", "low", "high")) for i, c in enumerate(columns)
+    }
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -143,12 +162,17 @@ def exact_quantiles(
     if ranges is None:
         ranges = column_ranges(df, columns)
     filled = [c for c in columns if ranges[c].rows]
+    infinite = _infinite(df, [c for c in filled if math.isinf(ranges[c].low) or math.isinf(ranges[c].high)])
     pending = []
-    for c in filled:
-        ranks = {k for share in shares for k in _neighbours(ranges[c].rows, share)[:2]}
-        bounds = _bounded(ranges[c].low), _bounded(ranges[c].high)
-        pending.append(_Range(c, ranges[c].rows, 0, *bounds, tuple(sorted(ranks))))
     done: dict[tuple[str, int], float] = {}
+    for c in filled:
+        rows = ranges[c].rows
+        ranks = {k for share in shares for k in _neighbours(rows, share)[:2]}
+        below, above, low, high = infinite.get(c, (0, 0, ranges[c].low, ranges[c].high))
+        done.update({(c, k): -math.inf if k < below else math.inf for k in ranks if not below <= k < rows - above})
+        ranks = {k for k in ranks if below <= k < rows - above}
+        if ranks:
+            pending.append(_Range(c, rows, below, _bounded(low), _bounded(high), tuple(sorted(ranks))))
     while pending:
         done.update({(r.column, k): r.low for r in pending if r.low == r.high for k in r.ranks})
         pending = [r for r in pending if r.low != r.high]
@@ -158,7 +182,7 @@ def exact_quantiles(
     def interpolate(column: str, share: float) -> float:
         low_rank, high_rank, part = _neighbours(ranges[column].rows, share)
         low, high = done[column, low_rank], done[column, high_rank]
-        return low + (high - low) * part
+        return low + (high - low) * part if part and low != high else low
 
     return {
         c: [interpolate(c, share) if c in filled else None for share in shares] for c in columns

@@ -49,11 +49,11 @@ def hash_predicates(bucket_expression: str, parts: int) -> list[str]:
     """One condition per reading task, for tables without an evenly spread number to split by.
 
     ``bucket_expression`` is SQL of the source that gives a number for every row from its unique key, say
-    ``abs(hashtext(cast(id as text)))``. A row for which it is null would be lost, so those go to the first
-    task.
+    ``hashtext(cast(id as text))``. Its sign does not matter: the remainder of a negative number is negative in
+    SQL, so its absolute value counts. A row for which it is null would be lost, so those go to the first task.
     """
-    first = f"(mod({bucket_expression}, {parts}) = 0 or ({bucket_expression}) is null)"
-    return [first, *[f"mod({bucket_expression}, {parts}) = {i}" for i in range(1, parts)]]
+    bucket = f"abs(mod({bucket_expression}, {parts}))"
+    return [f"({bucket} = 0 or ({bucket_expression}) is null)", *[f"{bucket} = {i}" for i in range(1, parts)]]
 
 
 def extract_sql_parts(

@@ -46,6 +46,11 @@ def test_hash_predicates_cover_every_row_once(spark):
         for p in readers.hash_predicates("abs(k)", 4)
     ]
     assert sum(counts) == 100 and counts[0] >= 10
+    signed = [
+        spark.sql(f"select count(*) n from rows_to_split where {p}").first()["n"]
+        for p in readers.hash_predicates("50 - k", 4)
+    ]
+    assert sum(signed) == 100
 
 
 def test_sql_errors_are_raised(spark):
