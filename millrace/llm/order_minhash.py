@@ -39,6 +39,8 @@ SKETCHES = 16
 SIMILARITY = 0.8
 SMALL = 32
 STARS = 4
+# Sketches are compared in turns, so that what the first ones have joined is not compared again.
+TURNS = (0, 1, 4, SKETCHES)
 # Up to so many edits the diagonals are walked one by one, beyond that all at once.
 FEW_EDITS = 24
 SEEDS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(BASES[0]))
@@ -267,7 +269,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.monotonically_increasing_id().alias("node"), "w1", "w2", "of.id", "of.th", "of.n", "of.sketches"),
         "nodes",
     )
-    singles = nodes.select("node", "n", F.col("n").alias("room"), (-F.col("node")).alias("pick"), F.explode("sketches").alias("key")).withColumn("label", F.col("node"))
+    singles = nodes.select("node", "n", F.col("n").alias("room"), (-F.col("node")).alias("pick"), F.posexplode("sketches").alias("sketch", "key")).withColumn("label", F.col("node"))
     buckets = _open(singles, scratch, "buckets")
     labels = None
     if not buckets.isEmpty():
@@ -291,8 +293,12 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
     )
     verifier = _Verifier(scratch, texts, similarity)
     alike = F.least("room", "other_room") >= F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - 1e-6)
-    labels = verifier.labels(_with_pivot(buckets, alike))
-    buckets = _open(_labelled(buckets.select("key", "node", "n", "room", "pick"), labels), scratch, "rest")
+    members = buckets.select("key", "node", "n", "room", "pick", "sketch")
+    for i, (first, last) in enumerate(zip(TURNS, TURNS[1:], strict=False)):
+        part = members.where((F.col("sketch") >= first) & (F.col("sketch") < last)).drop("sketch")
+        part = part.withColumn("label", F.col("node")) if i == 0 else _labelled(part, labels)
+        labels = verifier.labels(_with_pivot(_open(part, scratch, f"turn{i}"), alike))
+    buckets = _open(_labelled(members.drop("sketch"), labels), scratch, "rest")
     for turn in range(STARS + 1):
         if buckets.isEmpty():
             break
