@@ -11,7 +11,7 @@ first compared to one pivot. Members that end up in different components are can
 passage or are edited too much; so they are compared further only if they share one of their rarest k-mers. Two texts
 as similar as asked always do, if each lists as many as it may have beyond the common ones, plus one. Among texts with
 such a k-mer, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
-turn, then with each other. No candidate pair between different components is left out: only pairs that cannot have the
+turn, as long as that finds links, then with each other. No candidate pair between different components is left out: only pairs that cannot have the
 similarity, by their numbers of k-mers or their rare ones, are not compared.
 
 Edge cases: a null or wordless text is in a class of its own. Texts of fewer than five words have all their words as
@@ -38,9 +38,9 @@ TUPLE = 3
 SKETCHES = 16
 SIMILARITY = 0.8
 SMALL = 32
-STARS = 4
+STARS = 2
 # Sketches are compared in turns, so that what the first ones have joined is not compared again.
-TURNS = (0, 1, 4, SKETCHES)
+TURNS = (0, 2, SKETCHES)
 # Up to so many edits the diagonals are walked one by one, beyond that all at once.
 FEW_EDITS = 24
 SEEDS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(BASES[0]))
@@ -174,11 +174,15 @@ class _Verifier:
     def __init__(self, scratch: Scratch, texts: DataFrame, similarity: float):
         self.scratch, self.texts, self.similarity = scratch, texts, similarity
         self.links: DataFrame | None = None
+        self.labels: DataFrame | None = None
         self.round = 0
 
-    def labels(self, pairs: DataFrame) -> DataFrame:
-        """Verifies the pairs (a, b) and returns the components of all links so far."""
+    def check(self, pairs: DataFrame) -> int:
+        """Verifies the pairs (a, b), brings the labels of linked nodes up to date and returns the number of links found."""
         self.round += 1
+        asked = self.scratch.keep(pairs.select("a", "b").distinct(), f"pairs{self.round}")
+        if asked.isEmpty():
+            return 0
         similarity = self.similarity
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,15 +204,22 @@ class _Verifier:
 
         za = self.texts.select(F.col("node").alias("a"), F.col("z").alias("za"))
         zb = self.texts.select(F.col("node").alias("b"), F.col("z").alias("zb"))
-        asked = self.scratch.keep(pairs.select("a", "b").distinct(), f"pairs{self.round}")
         checked = asked.join(zb, "b").join(za, "a").select("a", "b", "za", "zb").mapInArrow(verify, "a long, b long")
         found = self.scratch.keep(checked, f"links{self.round}")
-        self.links = found if self.links is None else self.links.unionByName(found)
-        return components(self.links, self.scratch, f"components{self.round}")
-
-
-def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    return buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        count = found.count()
+        if count:
+            self.links = found if self.links is None else self.links.unionByName(found)
+            # A label stands for all links that it came from.
+            known = found if self.labels is None else found.union(self.labels.where("node <> label").select("node", "label"))
+            self.labels = components(known, self.scratch, f"components{self.round}")
+        return count
+
+    def labelled(self, rows: DataFrame, node: str = "node", label: str = "label") -> DataFrame:
+        """``rows`` with the label of a node; one without links is its own."""
+        if self.labels is None:
+            return rows.withColumn(label, F.col(node))
+        named = self.labels.select(F.col("node").alias(node), F.col("label").alias(label))
+        return rows.join(named, node, "left").withColumn(label, F.coalesce(label, node))
 
 
 def _open(buckets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -277,8 +288,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _classes(rows, nodes, labels, scratch, id_col)
 
 
-def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataFrame]:
-    """Labels of the linked nodes and the number of links of each."""
+def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataFrame] | None:
+    """Labels of the linked nodes and the number of links of each; None without links."""
     wanted = nodes.join(buckets.select("node").distinct(), "node").select("node", F.col("id").alias("node_id"), F.col("th").alias("node_th"))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,33 +304,37 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
     )
     verifier = _Verifier(scratch, texts, similarity)
     alike = F.least("room", "other_room") >= F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - 1e-6)
-    members = buckets.select("key", "node", "n", "room", "pick", "sketch")
-    for i, (first, last) in enumerate(zip(TURNS, TURNS[1:], strict=False)):
-        part = members.where((F.col("sketch") >= first) & (F.col("sketch") < last)).drop("sketch")
-        part = part.withColumn("label", F.col("node")) if i == 0 else _labelled(part, labels)
-        labels = verifier.labels(_with_pivot(_open(part, scratch, f"turn{i}"), alike))
-    buckets = _open(_labelled(members.drop("sketch"), labels), scratch, "rest")
-    for turn in range(STARS + 1):
-        if buckets.isEmpty():
+    for first, last in zip(TURNS, TURNS[1:], strict=False):
+        stars = _with_pivot(buckets.where((F.col("sketch") >= first) & (F.col("sketch") < last)), alike)
+        apart = verifier.labelled(verifier.labelled(stars, "a", "label_a"), "b", "label_b").where("label_a <> label_b")
+        verifier.check(apart)
+    buckets = _open(verifier.labelled(buckets.select("key", "node", "n", "room", "pick")), scratch, "rest")
+    if not buckets.isEmpty():
+        rare = _rare_kmers(texts, buckets.select("node", "n").distinct(), similarity, scratch)
+        buckets = _open(verifier.labelled(rare), scratch, "rare")
+    turn, found = 0, 1
+    while not buckets.isEmpty():
+        large = buckets.where((F.col("size") > SMALL) if turn < STARS and found else F.lit(False))
+        small = buckets.where((F.col("size") <= SMALL) if turn < STARS and found else F.lit(True))
+        last = turn == STARS or not found
+        found = verifier.check(_with_pivot(large.where("label <> pivot.label"), alike).union(_with_each_other(small, alike)))
+        if last:
             break
-        if turn == 0:
-            rare = _rare_kmers(texts, buckets.select("node", "n").distinct(), similarity, scratch)
-            buckets = _open(_labelled(rare, labels), scratch, "rare")
-        large = buckets.where(F.col("size") > SMALL) if turn < STARS else buckets.limit(0)
-        small = buckets.where(F.col("size") <= SMALL) if turn < STARS else buckets
-        labels = verifier.labels(_with_pivot(large, alike).union(_with_each_other(small, alike)))
         # Small buckets are done with, and so are the pivots of the large ones.
         left = large.where("node <> pivot.node").select("key", "node", "n", "room", "pick")
-        buckets = _open(_labelled(left, labels), scratch, f"left{turn}")
+        buckets = _open(verifier.labelled(left), scratch, f"left{turn}")
+        turn += 1
+    if verifier.links is None:
+        return None
     pairs = verifier.links.distinct()
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    return labels, scratch.keep(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "degrees")
+    return verifier.labels, scratch.keep(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "degrees")
 
 
 def _with_pivot(buckets: DataFrame, alike) -> DataFrame:
-    """A pair for every member that is in another component than the pivot of its bucket."""
-    star = buckets.where("label <> pivot.label").withColumns({"other_n": F.col("pivot.n"), "other_room": F.col("pivot.room")}).where(alike)
-    return star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+    """A pair of the pivot of its bucket and the member, for every other member."""
+    others = buckets.where("node <> pivot.node").withColumns({"other_n": F.col("pivot.n"), "other_room": F.col("pivot.room")}).where(alike)
+    return others.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
 
 
 def _with_each_other(buckets: DataFrame, alike) -> DataFrame:
