@@ -161,9 +161,10 @@ def test_near_groups_edge_rows(texts):
     assert sorted(r.kept for r in got if r.doc_id == 9) == [False, True]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("finish", [0, 3, components.FINISH])
+def test_components(spark, finish):
     links = [(1, 2), (2, 3), (9, 8), (7, 8), *((i, i + 1) for i in range(20, 60))]
-    found = components.components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "t"), "c")
+    found = components.components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "t"), "c", finish)
     got = {r.node: r.label for r in found.collect()}
     assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7, **{i: 20 for i in range(20, 61)}}
 
