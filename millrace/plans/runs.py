@@ -24,6 +24,7 @@ LOGS, COUNTS, CHECKS = "etl_job_logs", "row_counts", "quality_results"
 
 CALENDAR = ("dwh", "time_series")
 PARALLEL_CHECKS = 8
+CHECKS_RAN = "checks_ran"
 
 # The database names a run log entry carries.
 STAGING_DB, WAREHOUSE_DB, MART_DB = "staging", "dwh", "dtm"
@@ -71,6 +72,15 @@ def _log_entries(store: TableStore, outcomes: list[Outcome], p: Params) -> DataF
     return entries.withColumn("source_table", runlog.json_list(F.col("source_table")))
 
 
+def _checked(outcome: Outcome) -> DataFrame:
+    """The check results of a table; checks that cannot be set up are one failed result that names the error."""
+    try:
+        return quality.validate(outcome.result, outcome.name)
+    except Exception as error:
+        row = (outcome.name, None, f"{CHECKS_RAN}: {type(error).__name__}", 0, 0, False)
+        return outcome.result.sparkSession.createDataFrame([row], quality.RESULT_SCHEMA)
+
+
 def record(store: TableStore, outcomes: list[Outcome], p: Params) -> None:
     """Appends the log, the row counts and the check results of a run, one write each."""
     store.append(MONITORING, LOGS, _log_entries(store, outcomes, p))
@@ -81,7 +91,7 @@ def record(store: TableStore, outcomes: list[Outcome], p: Params) -> None:
     run_ts = F.lit(p.load_ts.isoformat(" ")).cast("timestamp_ntz").alias("run_ts")
     # A check runs a few small jobs in a row; threads let those of several tables share the cluster.
     with ThreadPoolExecutor(PARALLEL_CHECKS) as pool:
-        checks = _union(pool.map(lambda o: quality.validate(o.result, o.name), loaded))
+        checks = _union(pool.map(_checked, loaded))
     store.append(MONITORING, CHECKS, checks.select(run_ts, "*"))
 
 

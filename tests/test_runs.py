@@ -82,3 +82,20 @@ def test_what_reads_a_failed_model_is_skipped(spark, sf_dir, store):
     assert "not built: dwh.branches" in str({o.name: o.result for o in outcomes}["hr.dim_branches"])
     logged = store.read("monitoring", "etl_job_logs").where(F.col("status") == runlog.FAILURE)
     assert {r["target_table"] for r in logged.collect()} == {"branches", "hr_dtm-dim_branches"}
+
+
+def test_checks_that_fail_stay_with_their_table(spark, store, monkeypatch):
+    check = runs.quality.validate
+
+    def broken(df, name):
+        if name == "src_jira.bad":
+            raise KeyError("v")
+        return check(df, name)
+
+    monkeypatch.setattr(runs.quality, "validate", broken)
+    rows = spark.createDataFrame([(1, 2.0)], "id bigint, v double")
+    outcomes = [runs.Outcome("job", "a", "b", ("t",), f"src_jira.{t}", t, rows) for t in ("bad", "good")]
+    runs.record(store, outcomes, catalogue.DELIVERY)
+    got = store.read("monitoring", runs.CHECKS).collect()
+    assert [(r.expectation, r.success) for r in got if r.table_name == "src_jira.bad"] == [("checks_ran: KeyError", False)]
+    assert len([r for r in got if r.table_name == "src_jira.good"]) > 1
