@@ -37,7 +37,7 @@ def _rename_model(table: str, source: str, columns: dict) -> None:
 
 def month_code_to_number(code):
     """``M3`` to ``03``."""
-    return F.lpad(F.substring(code, 2, 10), 2, "0")
+    return F.lpad(F.substr(code, F.lit(2)), 2, "0")
 
 
 def nullable_ts(x):
