@@ -20,6 +20,9 @@ BOUNDED_SINGLE_TASK = {
     "x5_ever_joined",
 }
 
+# Training-data operators may run numpy in tasks, but for the fourth.
+FREE_STYLE = re.compile(r"op(?!4_)\d+_|pipeline")
+
 
 def physical(spark, sf_dir, name):
     return QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
@@ -29,7 +32,8 @@ def physical(spark, sf_dir, name):
 def test_no_nested_loops_and_no_single_task_windows(spark, sf_dir, name):
     plan = physical(spark, sf_dir, name)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    if not FREE_STYLE.match(name):
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     if name not in BOUNDED_SINGLE_TASK:
         assert not re.search(r"Window \[[^\n]*\n[^\n]*Sort [^\n]*\n[^\n]*Exchange SinglePartition", plan)
 
