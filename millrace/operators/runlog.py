@@ -94,10 +94,11 @@ def load_check(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def new_tables(remote: DataFrame, local: DataFrame, remote_schema: str | None = None) -> DataFrame:
-    """Base tables listed remotely whose name is not present locally; present ones are not compared."""
-    listed = remote.where(F.col("table_type") == "BASE TABLE")
+    """Base tables listed remotely whose name is not present locally; present ones are not compared.
+
+    Further columns of the listing are carried along.
+    """
+    listed = remote.where(F.col("table_type") == "BASE TABLE").drop("table_type")
     if remote_schema is not None:
         listed = listed.where(F.col("table_schema") == remote_schema)
-    return listed.select("table_schema", "table_name").join(
-        local.select("table_name").distinct(), "table_name", "left_anti"
-    )
+    return listed.join(local.select("table_name").distinct(), "table_name", "left_anti")

@@ -22,26 +22,30 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys of both versions with their ``change``: insert, delete, update or keep."""
-    values = [c for c in new.columns if c not in keys]
-
-    def version(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys, F.struct(*values).alias(side))
-
-    joined = version(old, "old_row").join(version(new, "new_row"), list(keys), "full_outer")
-    change = (
-        F.when(F.col("old_row").isNull(), "insert")
-        .when(F.col("new_row").isNull(), "delete")
-        .when(F.col("old_row").eqNullSafe(F.col("new_row")), "keep")
-        .otherwise("update")
+    """The keys of both versions with their ``change`` (insert, delete, update or keep) and its ``row_count``.
+
+    A missing key part equals a missing one, and such a key may have several rows: equal rows of both versions
+    are kept, of the others as many as both sides have are updates, and what is left over came or went. The rows
+    are counted rather than joined, so a hot key shrinks before it is shuffled.
+    """
+    columns = list(new.columns)
+    # Arrays and structs can be grouped by, maps cannot; the tables of this library have none.
+    rows = old.select(*columns, F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
+        new.select(*columns, F.lit(0).alias("_old"), F.lit(1).alias("_new"))
     )
-    return joined.select(*keys, change.alias("change"))
+    per_row = rows.groupBy(*columns).agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+    same = F.least("_old", "_new")
+    per_key = per_row.groupBy(*keys).agg(
+        F.sum(same).alias("keep"), F.sum(F.col("_old") - same).alias("_gone"), F.sum(F.col("_new") - same).alias("_come")
+    )
+    both = F.least("_gone", "_come")
+    kinds = {"keep": F.col("keep"), "update": both, "delete": F.col("_gone") - both, "insert": F.col("_come") - both}
+    pairs = F.array(*[F.struct(F.lit(k).alias("change"), n.alias("row_count")) for k, n in kinds.items()])
+    return per_key.select(*keys, F.inline(pairs)).where("row_count > 0")
 
 
 def change_counts(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (
-        snapshot_changes(old, new, keys).groupBy("change").agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    return snapshot_changes(old, new, keys).groupBy("change").agg(F.sum("row_count").alias("row_count"))
 
 
 def refresh(

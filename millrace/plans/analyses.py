@@ -249,10 +249,11 @@ def member(members: DataFrame, member_id: str) -> DataFrame:
 # Issues and work -----------------------------------------------------------------------------------
 
 
-def issues_with_project(dim_issues: DataFrame, issues: DataFrame) -> DataFrame:
-    """The issue dimension plus the project each issue belongs to."""
-    keys = issues.select(F.col("issue_id").alias("_issue"), "jira_project_id")
-    return equi_left_join(dim_issues, keys, "issue_id", "_issue")
+def issues_with_status(issues: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Issues with their project, assignee and the name of their status."""
+    names = statuses.select(F.col("status_id").alias("_status"), F.col("status_name").alias("status"))
+    kept = issues.select("issue_id", "issue_assignee", "jira_project_id", "issue_status")
+    return equi_left_join(kept, names, "issue_status", "_status").drop("issue_status")
 
 
 def resolution_hours_by_week(issues: DataFrame, weeks: DataFrame, mode: str) -> DataFrame:
@@ -286,8 +287,8 @@ SLA_GROUP = ("project_name", "location", "scope", "size")
 def project_sla(dim_projects: DataFrame, project_members: DataFrame, issues: DataFrame) -> DataFrame:
     """Share of resolved, dated issues done by their due date, and the distinct team size.
 
-    A project contributes members x issues row pairs to its group. Its issues are counted first and joined
-    to its distinct members, each weighted by its row count.
+    A project contributes members x issues row pairs to its group. Its issues are counted first, its rows
+    shrink to one per group, and only then do they meet its distinct members, each weighted by its row count.
     """
     per_issue_project = (
         issues.where(F.col("resolution_date").isNotNull() & F.col("due_date").isNotNull())
@@ -303,6 +304,9 @@ def project_sla(dim_projects: DataFrame, project_members: DataFrame, issues: Dat
         ["jira_project_id"],
         "inner",
     )
+    projects = projects.groupBy("project_id", *SLA_GROUP).agg(
+        F.sum("issues").alias("issues"), F.sum("on_time").alias("on_time")
+    )
     team = project_members.groupBy("project_id", "member_id").agg(F.count(F.lit(1)).alias("member_rows"))
     pairs, on_time = (F.col("member_rows") * F.col(c) for c in ("issues", "on_time"))
     return (

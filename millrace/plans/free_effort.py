@@ -12,7 +12,7 @@ and always brings planned and actual effort of a month together, so (member_emai
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.dates import year_month
 from millrace.operators.calendar import month_spine
@@ -42,6 +42,11 @@ def members_by_email(members: DataFrame) -> DataFrame:
     )
 
 
+def _exact_sum(column: str) -> Column:
+    """A sum that does not depend on the order of its rows, unlike one of floating numbers."""
+    return F.sum(F.col(column).cast("decimal(28,8)")).cast("double")
+
+
 def actual_efforts(worklog: DataFrame, members: DataFrame) -> DataFrame:
     """Worked person-months per member and month. The log shrinks to (author, month) before it joins."""
     worked = (
@@ -49,7 +54,7 @@ def actual_efforts(worklog: DataFrame, members: DataFrame) -> DataFrame:
         .groupBy(
             F.col("worklog_author").alias("member_email"), year_month("start_time").alias("month_year")
         )
-        .agg(F.sum("time_worked").alias("seconds"))
+        .agg(_exact_sum("time_worked").alias("seconds"))
     )
     months = F.col("seconds") * F.col("member_rows") / SECONDS_PER_HOUR / HOURS_PER_MONTH
     return worked.join(members_by_email(members), "member_email").select(
@@ -76,13 +81,14 @@ def with_moving_average(actual: DataFrame, mode: str) -> DataFrame:
 
 def planned_efforts(efforts: DataFrame, members: DataFrame) -> DataFrame:
     """Planned effort per member and month; both sides shrink to their distinct keys before the join."""
-    planned = efforts.groupBy("member_id", "month_year").agg(F.sum("effort").alias("effort"))
+    planned = efforts.groupBy("member_id", "month_year").agg(_exact_sum("effort").alias("effort"))
     mailboxes = members.groupBy("member_id", "member_email").agg(F.count(F.lit(1)).alias("member_rows"))
     return (
         planned.join(mailboxes, "member_id")
+        .withColumn("scaled", F.col("effort") * F.col("member_rows"))
         .groupBy(*KEYS)
         .agg(
-            F.sum(F.col("effort") * F.col("member_rows")).alias("pod_efforts"),
+            _exact_sum("scaled").alias("pod_efforts"),
             F.countDistinct("member_id").alias("planned_members"),
         )
     )

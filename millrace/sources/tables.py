@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.operators.runlog import new_tables
+
 
 class SchemaMismatch(Exception):
     """The new data does not fit the columns the table was created with."""
@@ -73,16 +75,17 @@ class TableStore:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED `{schema}`.`{table}`").where("col_name = 'Location'")
         return rows.first()["data_type"]
 
-    def sync(self, schema: str, listing: DataFrame) -> list[str]:
-        """Registers the listed parquet folders (``table_name``, ``location``) that have no table yet.
+    def sync(self, schema: str, listing: DataFrame, remote_schema: str | None = None) -> list[str]:
+        """Registers the listed base tables that have no table yet, each a parquet folder.
 
-        Tables that exist are left alone, even if their columns changed. Only names of missing tables come
-        to the driver, where table definitions are made anyway.
+        ``listing`` has ``table_schema``, ``table_name``, ``table_type`` and ``location``. Tables that exist are
+        left alone, even if their columns changed. Only names of missing tables come to the driver, where table
+        definitions are made anyway.
         """
         self._ensure_schema(schema)
         present = self.spark.sql(f"SHOW TABLES IN `{schema}`").select(F.col("tableName").alias("table_name"))
         added = []
-        for row in listing.join(present, "table_name", "left_anti").toLocalIterator():
+        for row in new_tables(listing, present, remote_schema).toLocalIterator():
             self.register(schema, row["table_name"], row["location"])
             added.append(row["table_name"])
         return added

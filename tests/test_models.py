@@ -321,7 +321,7 @@ def test_point_forms_of_the_member_reports(spark, sf_dir):
     point = analyses.worked_time(worklog, members, author, project)
     expected = everything.where((F.col("member_email") == author) & (F.col("jira_project_id") == project))
     assert sorted(map(tuple, point.collect())) == sorted(map(tuple, expected.collect()))
-    issues = analyses.issues_with_project(ws.table("jira.dim_jira_issues"), ws.table("dwh.jira_issues"))
+    issues = analyses.issues_with_status(ws.table("dwh.jira_issues"), ws.table("dwh.jira_issue_status"))
     args = (ws.table("jira.dim_projects"), ws.table("jira.fct_project_members"), members, worklog, issues)
     one = analyses.contributions(*args, project_id=project)
     whole = analyses.contributions(*args)

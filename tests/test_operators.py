@@ -268,6 +268,19 @@ def test_snapshot_changes(spark):
     assert {r["k"]: r["change"] for r in found} == {"a": "update", "b": "keep", "c": "delete", "d": "insert"}
 
 
+def test_snapshot_changes_pair_missing_keys(spark):
+    schema = "k string, m int, v double"
+    old = [("a", None, 1.0), ("a", None, 1.0), ("a", None, 2.0), (None, None, None), ("b", 1, 5.0)]
+    new = [("a", None, 1.0), ("a", None, 2.0), ("a", None, 3.0), ("a", None, 4.0), (None, None, None), ("b", 1, 5.0)]
+    counts = lambda o, n: {
+        r["change"]: r["row_count"]
+        for r in snapshots.change_counts(spark.createDataFrame(o, schema), spark.createDataFrame(n, schema), ["k", "m"]).collect()
+    }
+    assert counts(old, new) == {"keep": 4, "update": 1, "insert": 1}
+    assert counts(new, old) == {"keep": 4, "update": 1, "delete": 1}
+    assert counts([], []) == {}
+
+
 def test_duplicate_keys_ignore_missing_parts(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1), (None, 1), ("b", 2)], "k string, m int")
     assert [tuple(r) for r in snapshots.duplicate_keys(df, ["k", "m"]).collect()] == [("a", 1, 2)]

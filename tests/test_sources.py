@@ -182,9 +182,17 @@ def test_append_grows(spark, store, schema):
 def test_sync_registers_only_missing_tables(spark, store, schema):
     old, new = store.write_version("files", "old", spark.range(1)), store.write_version("files", "new", spark.range(2))
     store.overwrite(schema, "old", spark.range(7))
-    listing = spark.createDataFrame([("old", old), ("new", new)], "table_name string, location string")
-    assert store.sync(schema, listing) == ["new"]
-    assert store.sync(schema, listing) == []
+    listing = spark.createDataFrame(
+        [
+            ("far", "old", "BASE TABLE", old),
+            ("far", "new", "BASE TABLE", new),
+            ("far", "shown", "VIEW", new),
+            ("else", "other", "BASE TABLE", new),
+        ],
+        "table_schema string, table_name string, table_type string, location string",
+    )
+    assert store.sync(schema, listing, "far") == ["new"]
+    assert store.sync(schema, listing, "far") == []
     assert (store.read(schema, "old").count(), store.read(schema, "new").count()) == (7, 2)
 
 
