@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+# How many names an error message lists.
+SHOWN = 20
+
 
 def jdbc_options(
     url: str,
@@ -63,13 +66,47 @@ def extract_sql_parts(
     return spark.read.jdbc(url, f"({query}) source_rows", predicates=list(predicates), properties=dict(properties))
 
 
-def extract_document_data(
+class UndeclaredFields(Exception):
+    """The documents hold fields that the declared schema does not name."""
+
+
+def undeclared_fields(
     spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
+) -> DataFrame:
+    """Top-level fields of the documents that the schema does not declare, with the number of documents.
+
+    One pass over the export; field names are counted in each task before they are shuffled.
+    """
+    declared = spark.createDataFrame([], schema).columns
+    documents = (
+        spark.read.option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
+        .option("singleVariantColumn", "document")
+        .json(path)
+    )
+    # A file may hold an array of documents.
+    each = documents.selectExpr(
+        "explode(coalesce(try_variant_get(document, '$', 'array<variant>'), array(document))) AS document"
+    )
+    fields = each.select(F.explode(F.map_keys(F.expr("cast(document as map<string, variant>)"))).alias("field"))
+    return fields.where(~F.col("field").isin(declared)).groupBy("field").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def extract_document_data(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False, surplus: str = "fail"
 ) -> DataFrame:
     """A whole document collection from its JSON export. The schema is declared, never inferred.
 
+    Spark drops fields that the schema does not name, so the export is searched for them first and the read
+    fails if there are any; ``surplus="drop"`` leaves them out knowingly, and saves that pass.
     A line-delimited export is split over tasks; ``multi_line`` reads each file in one task.
     """
+    if surplus not in ("fail", "drop"):
+        raise ValueError(f"surplus fields can fail or be dropped, not {surplus}")
+    if surplus == "fail":
+        found = [row["field"] for row in undeclared_fields(spark, path, schema, multi_line).sort("field").take(SHOWN)]
+        if found:
+            raise UndeclaredFields(f"{path} holds fields that its schema does not declare: {found}")
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 

@@ -60,8 +60,19 @@ def test_sql_errors_are_raised(spark):
 
 def test_documents_keep_their_declared_schema(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"_id": {"$oid": "65a"}, "n": 1, "extra": 2}\n{"_id": {"$oid": "65b"}}\n')
-    df = readers.extract_document_data(spark, str(tmp_path), "_id struct<`$oid`: string>, n int")
+    schema = "_id struct<`$oid`: string>, n int"
+    df = readers.extract_document_data(spark, str(tmp_path), schema, surplus="drop")
     assert sorted((r["_id"]["$oid"], r["n"]) for r in df.collect()) == [("65a", 1), ("65b", None)]
+    with pytest.raises(readers.UndeclaredFields, match="extra"):
+        readers.extract_document_data(spark, str(tmp_path), schema)
+    whole = readers.extract_document_data(spark, str(tmp_path), f"{schema}, extra int")
+    assert sorted((r["_id"]["$oid"], r["extra"]) for r in whole.collect()) == [("65a", 2), ("65b", None)]
+
+
+def test_undeclared_fields_of_whole_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"n": 1,\n "x": {"n": 2}}, {"n": null}, {"x": null}]')
+    found = readers.undeclared_fields(spark, str(tmp_path), "n int", multi_line=True)
+    assert [tuple(r) for r in found.collect()] == [("x", 2)]
 
 
 def test_broken_documents_fail_the_read(spark, tmp_path):
