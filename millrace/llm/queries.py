@@ -117,7 +117,8 @@ FIELDS = ("a-d", "e-n", "o-z")
 BUDGET_SHARE = 0.6
 MIX_SEED = 11
 SOURCE_TARGETS = {"src0": 0.2, "src1": 0.05, raking.REST: 0.75}
-LANG_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1, raking.REST: 0.0}
+# No target for REST: null and further languages keep their own share.
+LANG_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 TOPIC_TARGETS = {"a-d": 0.15, "e-n": 0.35, "o-z": 0.5, raking.REST: 0.0}
 
 

@@ -8,7 +8,8 @@ cell's wanted share of tokens as probability, decided by a digest of its id, so
 The cells are the product of the classes that the caller names and one rest class per margin, so the collected table is
 bounded by the caller's targets, not by the data.
 
-Edge cases: null or unnamed values belong to the rest class; a class without tokens gives its weight to the others of
+Edge cases: null or unnamed values belong to the rest class. Without a target for it, the rest class is wanted with its own
+share of the tokens, and the named classes share what is left of the budget. A class without tokens gives its weight to the others of
 its margin, in proportion. A document without tokens weighs nothing and is drawn with the share asked for overall. Targets that the
 tokens cannot meet are met as far as they go. Rows with the same id, null included, are decided alike within a
 cell. An empty table gives an empty result. The columns of the table pass through.
@@ -34,7 +35,7 @@ REST = None
 
 @dataclass(frozen=True)
 class Margin:
-    """A column, and the share of tokens wanted for its values; the key REST stands for all others."""
+    """A column, and the share of tokens wanted for its values; the key REST stands for all others, which keep their own share if it is absent."""
 
     name: str
     value: Column
@@ -51,7 +52,7 @@ class Margin:
         return out
 
     def shares(self) -> np.ndarray:
-        return np.array([self.targets[v] for v in self.classes()] + [self.targets.get(REST, 0.0)], dtype=float)
+        return np.array([self.targets[v] for v in self.classes()] + [self.targets.get(REST, np.nan)], dtype=float)
 
 
 def words(text: Column) -> Column:
@@ -85,15 +86,17 @@ def initials(text: Column, ranges: Sequence[str]) -> Column:
 
 
 def rake(tokens: np.ndarray, shares: Sequence[np.ndarray], budget_share: float, rounds: int = ROUNDS) -> np.ndarray:
-    """Wanted tokens of every cell; axis m of ``tokens`` holds the classes of margin m."""
+    """Wanted tokens of every cell; axis m of ``tokens`` holds the classes of margin m. A class whose share is NaN keeps its own."""
     budget = budget_share * tokens.sum()
     wanted = tokens * budget_share
     for _ in range(rounds):
         for axis, share in enumerate(shares):
             others = tuple(a for a in range(tokens.ndim) if a != axis)
-            there = tokens.sum(axis=others) > 0
-            goal = np.where(there, share, 0.0)
-            goal = budget * goal / goal.sum() if goal.sum() > 0 else goal
+            held = tokens.sum(axis=others)
+            own = np.where(np.isnan(share), budget_share * held, 0.0)
+            goal = np.where((held > 0) & ~np.isnan(share), share, 0.0)
+            goal = (budget - own.sum()) * goal / goal.sum() if goal.sum() > 0 else goal
+            goal = goal + own
             now = wanted.sum(axis=others)
             factor = np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)
             shape = [1] * tokens.ndim

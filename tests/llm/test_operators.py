@@ -324,6 +324,28 @@ def test_mix_edge_rows(texts):
     assert {r.mix_tokens for r in got if r.doc_id in (4, 5)} == {0}
 
 
+def test_mix_keeps_unlabelled_and_further_languages(spark):
+    langs = ["en", "en", "de", "fr", "es", None, "it", "nl"]
+    initial, source = "b" * 3 + "h" * 7 + "r" * 10, [0] * 4 + [1] + [2] * 15
+    rows = [(i, f"{initial[i // 160]}{i} " * 20, langs[i % 8], f"src{source[i // 8 % 20]}") for i in range(3200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    counted, margins, tokens = queries.mixture(docs)
+    got = raking.mix(counted, margins, queries.BUDGET_SHARE, tokens).collect()
+    rest = [r for r in got if r.mix_lang == 4]
+    assert {r.lang for r in rest} == {None, "it", "nl"} and all(r.mix_probability > 0 for r in rest)
+    wanted = Counter()
+    for r in got:
+        wanted[r.mix_lang] += r.mix_tokens * r.mix_probability
+    total = sum(r.mix_tokens for r in got)
+    assert wanted[4] == pytest.approx(queries.BUDGET_SHARE * total * 3 / 8)
+    for k, share in enumerate((0.5, 0.2, 0.2, 0.1)):
+        assert wanted[k] == pytest.approx(queries.BUDGET_SHARE * total * 5 / 8 * share)
+    kept = {r.lang for r in corpus_pipeline.mixture(spark, docs, "").collect()}
+    assert kept == set(langs)
+    other = docs.where("lang IS NULL OR lang IN ('it', 'nl')")
+    assert {r.lang for r in corpus_pipeline.mixture(spark, other, "").collect()} == {None, "it", "nl"}
+
+
 def test_warc_revisits(spark, tmp_path):
     long = "WARC/1.1\r\n\r\npayload é " * 60
     rows = [(1, "http://a/\r\nX: y", long), (2, None, long), (3, "u", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "x" * 1000), (7, "u", "x" * 1000), (None, "u", long)]
