@@ -2,10 +2,10 @@
 
 Bytes are embedded, filters of several widths slide over them, every filter keeps its largest response in the window,
 and a softmax layer reads these. The network is trained in numpy on windows from a bounded sample of labelled
-texts: at most ``docs_per_lang`` documents of each of the ``max_langs`` most frequent languages, ``windows_per_doc``
-windows each. For application the embedding is folded into lookup tables (the response of a filter to a pair of bytes), and
-every window of the whole text is scored; the text's scores are the mean log-probabilities of its windows, weighted by their
-bytes. Windows overlap by the widest filter less one, so no run of bytes falls between two.
+texts: at most ``docs_per_lang`` different texts of each of the ``max_langs`` languages that have most of them, ``windows_per_doc``
+windows each. Copies of a text count once. For application the embedding is folded into lookup tables (the response of a
+filter to a pair of bytes), and every window of the whole text is scored; the text's scores are the mean log-probabilities of
+its windows, weighted by their bytes. Windows overlap by the widest filter less one, so no run of bytes falls between two.
 
 Edge cases: a null or letterless text is ``und`` with score 0, as is every text if there was nothing to learn from. Rows
 with a null label or text teach nothing. Repeated rows and ties are predicted alike; of equal probabilities the
@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.scratch import unit
+from millrace.llm.scratch import Scratch, unit
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -179,6 +179,13 @@ class Scorer:
             yield owners[:filled], lengths[:filled], block[:filled]
 
 
+def _per_language(values: dict[str, float], other: float) -> Column:
+    out = F.lit(other)
+    for lang, value in values.items():
+        out = F.when(F.col("lang") == lang, F.lit(value)).otherwise(out)
+    return out
+
+
 def fit(
     docs: DataFrame,
     text_col: str = "text",
@@ -188,36 +195,46 @@ def fit(
     max_langs: int = MAX_LANGS,
     seed: int = 7,
 ) -> Model | None:
-    """Trains on a bounded sample of the rows of ``docs`` that have a label; None if there are none."""
-    labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    """Trains on a bounded sample of the different labelled texts of ``docs``; None if there are none."""
+    spark = docs.sparkSession
+    labelled = docs.select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("digest")
+    ).where("lang IS NOT NULL AND text IS NOT NULL")
+    different = Scratch(spark, "labelled").keep(labelled.select("lang", "digest").distinct(), "different")
+    counts = different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not counts:
         return None
-    # Half as many again as are wanted, on average; the surplus is cut in the order of the draw.
-    rate = F.lit(0.0)
-    for r in counts:
-        rate = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (1.5 * docs_per_lang + 20) / r["count"]))).otherwise(rate)
-    draw = unit(F.xxhash64("text"), F.lit(seed))
-    sample = labelled.withColumn("draw", draw).where(F.col("draw") < rate)
+    # Half as many again as are wanted, on average; then the place of the last one wanted in the order of the draw.
+    draw = unit(F.col("digest"), F.lit(seed))
+    rate = _per_language({r["lang"]: min(1.0, (1.5 * docs_per_lang + 20) / r["count"]) for r in counts}, 0.0)
+    drawn = different.withColumn("draw", draw).where(F.col("draw") < rate).groupBy("lang")
+    lasts = drawn.agg(F.slice(F.sort_array(F.collect_list("draw")), 1, docs_per_lang).alias("draws")).select("lang", F.element_at("draws", -1).alias("last"))
+    last = _per_language({r["lang"]: r["last"] for r in lasts.collect()}, -1.0)
+    sample = labelled.withColumn("draw", draw).where(F.col("draw") <= last).select("lang", "text", "draw")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
             rows = []
             for lang, text, place in zip(batch["lang"], batch["text"], batch["draw"], strict=True):
+                if (lang, place) in seen:
+                    continue
+                seen.add((lang, place))
                 body = text.encode()
                 spans = windows_of(body)
                 for i in range(min(windows_per_doc, len(spans))):
                     start, length = spans[(i * len(spans)) // min(windows_per_doc, len(spans))]
-                    rows.append((lang, place, body[start : start + length]))
-            yield pd.DataFrame(rows, columns=["lang", "draw", "body"])
+                    rows.append((lang, place, i, body[start : start + length]))
+            yield pd.DataFrame(rows, columns=["lang", "draw", "place", "body"])
 
-    rows = sample.mapInPandas(cut, "lang string, draw double, body binary").collect()
+    # Copies in several tasks meet here; what is left is bounded by the sample.
+    rows = sample.mapInPandas(cut, "lang string, draw double, place int, body binary").distinct().collect()
     langs = tuple(sorted(r["lang"] for r in counts))
     bodies: list[bytes] = []
     labels: list[int] = []
     for k, lang in enumerate(langs):
-        own = sorted((r["draw"], bytes(r["body"])) for r in rows if r["lang"] == lang)[: docs_per_lang * windows_per_doc]
-        bodies += [b for _, b in own]
+        own = sorted((r["draw"], r["place"], bytes(r["body"])) for r in rows if r["lang"] == lang)
+        bodies += [b for *_, b in own]
         labels += [k] * len(own)
     windows = np.zeros((len(bodies), WINDOW), np.uint8)
     for i, b in enumerate(bodies):

@@ -222,6 +222,24 @@ def test_language_edge_rows(texts):
     assert {r.doc_id for r in byte_cnn.known_language(texts).collect()} >= {1, 2, 3, 6, 7, 8, 13}
 
 
+def test_language_sample_of_copied_texts(spark, monkeypatch):
+    """Every language teaches, whatever its copies, and every different text at most once."""
+    hot = {lang: f"{lang} {word} " * 20 for lang, word in (("aa", "bala"), ("bb", "wyzo"), ("cc", "tekiru"), ("dd", "qopux"))}
+    rows = [(f"{lang}", text) for lang, text in hot.items() for _ in range(400)]
+    rows += [("dd", f"qopux {i} " * 60) for i in range(90)] + [("cc", hot["aa"])]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    taught = []
+    monkeypatch.setattr(byte_cnn, "train", lambda windows, labels, langs, seed: taught.append((windows, labels, langs)))
+    byte_cnn.fit(docs, docs_per_lang=10)
+    windows, labels, langs = taught[0]
+    assert langs == ("aa", "bb", "cc", "dd")
+    got = {lang: Counter(bytes(w).rstrip(b"\0") for w, k in zip(windows, labels, strict=True) if langs[k] == lang) for lang in langs}
+    assert got["aa"] == Counter([hot["aa"].encode()]) and got["bb"] == Counter([hot["bb"].encode()])
+    assert got["cc"] == Counter([hot["cc"].encode(), hot["aa"].encode()])
+    heads = [w for w in got["dd"] if w.startswith((b"qopux", b"dd"))]
+    assert len({w.split()[1] for w in heads}) == 10 and sum(got["dd"].values()) <= 20
+
+
 def test_windows_cover_every_byte_run():
     for n in (0, 1, 255, 256, 257, 508, 509, 510, 5000):
         spans = byte_cnn.windows_of(bytes(n))
