@@ -10,10 +10,13 @@ from millrace.llm import (
     byte_cnn,
     chat_parts,
     label_propagation,
+    level_products,
     order_minhash,
+    pair_bitmaps,
     pivot_search,
     raking,
     relative_lz,
+    trie_simhash,
     warc_revisits,
     window_packing,
 )
@@ -22,6 +25,7 @@ from millrace.session import fresh_path
 
 WARC_DATE = "2024-06-01T00:00:00Z"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+ALIGNED = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 HELD_OUT_PART = 2
 EXTRA_CONVERSATION = -7
 EXTRA_TEXT = "\\### Assistant: </turn> ok"
@@ -217,6 +221,18 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_bitmaps.align(table(spark, sf_dir, "documents"), *ALIGNED)
+
+
+def op12_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return level_products.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_trie_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_block_naming": op1_block_naming,
     "op2_relative_lz": op2_relative_lz,
@@ -228,6 +244,9 @@ QUERIES = {
     "op8_window_packing": op8_window_packing,
     "op9_raking": op9_raking,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_pair_bitmaps": op11_pair_bitmaps,
+    "op12_level_products": op12_level_products,
+    "op13_trie_simhash": op13_trie_simhash,
 }
 
 ORACLE_SQL = {
@@ -305,4 +324,40 @@ ORACLE_SQL = {
                true AS digest_matches
         FROM first
     """,
+    "op12_level_products": f"""
+        WITH words AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   unnest(regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS word
+            FROM documents
+        ), uses AS (
+            SELECT doc, lang, source, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM words
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM uses GROUP BY lang, term HAVING count(DISTINCT doc) >= {level_products.MIN_DOCS}
+        ), langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+        ), groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+        ), cells AS (
+            SELECT g.lang, g.source, k.term, count(u.term) AS n, any_value(k.n) AS lang_n
+            FROM groups g JOIN kept k USING (lang) LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+            GROUP BY g.lang, g.source, k.term
+        ), totals AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source
+        ), priced AS (
+            SELECT lang, c.source, term, n,
+                   1 + ({level_products.SCALE}::HUGEINT * (c.n + 5)) // (t.total + 5 * l.v) AS p,
+                   1 + ({level_products.SCALE}::HUGEINT * (c.lang_n + 5)) // (l.total + 5 * l.v) AS q
+            FROM cells c JOIN totals t USING (lang, source) JOIN langs l USING (lang)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN priced x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN priced y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY a.lang, a.source, b.source
+        ), parts AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM priced WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked
+        WHERE part = 'pair' OR rank <= {level_products.TOP_TERMS}
+    """,
 }

@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.session import fresh_path
 
 
+BATCH_BYTES = "4m"
+
+
 class Scratch:
     """Tables written under one fresh folder of the shared directory.
 
@@ -38,3 +41,8 @@ def unit(*parts: Column) -> Column:
 def skew_aware(spark: SparkSession) -> None:
     """Lets Spark split a hot join partition even where that costs a shuffle further down."""
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Has Spark cut the batches it sends to Python by bytes too, for this session; rows alone would let long texts pile up."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
