@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.scratch import Scratch, unit
+from millrace.llm.scratch import Scratch, bounded_batches, release_memory, unit
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -250,6 +250,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_
     """``docs`` with the predicted language and its probability."""
     if model is None:
         return docs.withColumns({lang_out: F.lit(UNKNOWN), score_out: F.lit(0.0)})
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("struct<lang: string, score: double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -258,6 +259,8 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_
             bodies = [b"" if t is None else t.encode() for t in texts]
             best, score = scorer.predict(bodies)
             yield pd.DataFrame({"lang": [model.langs[i] for i in best], "score": score})
+        del scorer
+        release_memory()
 
     known = has_letter(F.col(text_col))
     guess = "__guess_of_language"

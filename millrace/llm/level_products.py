@@ -34,7 +34,7 @@ MIN_DOCS = 30
 SCALE = 1_000_000_000
 PRIOR = 5
 TOP_TERMS = 50
-BLOCK_TERMS = 4096
+BLOCK_TERMS = 512
 SLICE = 32
 COLUMNS = 32
 # Counts held by a task before it hands them on, and the parts a group's row is copied to, for joins with hot groups.

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.block_naming import keep_rows
 from millrace.llm.components import components
-from millrace.llm.scratch import Scratch, skew_aware
+from millrace.llm.scratch import Scratch, bounded_batches, skew_aware, tidy
 from millrace.llm.word_hashes import BASES, by_size, mix, range_digests, word_digests
 
 KMER = 5
@@ -204,7 +204,7 @@ class _Verifier:
 
         za = self.texts.select(F.col("node").alias("a"), F.col("z").alias("za"))
         zb = self.texts.select(F.col("node").alias("b"), F.col("z").alias("zb"))
-        checked = asked.join(zb, "b").join(za, "a").select("a", "b", "za", "zb").mapInArrow(verify, "a long, b long")
+        checked = asked.join(zb, "b").join(za, "a").select("a", "b", "za", "zb").mapInArrow(tidy(verify), "a long, b long")
         found = self.scratch.keep(checked, f"links{self.round}")
         count = found.count()
         if count:
@@ -241,6 +241,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     skew_aware(spark)
+    bounded_batches(spark)
     scratch = Scratch(spark, "order-minhash")
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     source = docs.select(
@@ -271,7 +272,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 )
 
     rows = scratch.keep(
-        source.mapInArrow(sketch, f"row long, id {id_type}, th long, sha string, n long, w1 long, w2 long, sketches array<long>"), "rows"
+        source.mapInArrow(tidy(sketch), f"row long, id {id_type}, th long, sha string, n long, w1 long, w2 long, sketches array<long>"), "rows"
     )
     nodes = scratch.keep(
         rows.where("n > 0")
@@ -298,7 +299,7 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), packed], names=["id", "th", "z"])
 
     id_type = source.schema["id"].dataType.simpleString()
-    packed = source.select("id", "th", "body").mapInArrow(squeeze, f"id {id_type}, th long, z binary")
+    packed = source.select("id", "th", "body").mapInArrow(tidy(squeeze), f"id {id_type}, th long, z binary")
     texts = scratch.keep(
         packed.join(wanted, packed["id"].eqNullSafe(wanted["node_id"]) & (packed["th"] == wanted["node_th"])).select("node", "z"), "texts"
     )
@@ -365,7 +366,7 @@ def _rare_kmers(texts: DataFrame, nodes: DataFrame, similarity: float, scratch:
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(kmers.view(np.int64))], names=["node", "n", "key"])
 
     asked = texts.join(nodes, "node").select("node", "n", "z")
-    kmers = scratch.keep(asked.mapInArrow(cut, "node long, n long, key long"), "kmers")
+    kmers = scratch.keep(asked.mapInArrow(tidy(cut), "node long, n long, key long"), "kmers")
     common = scratch.keep(kmers.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "common")
     shared = scratch.keep(kmers.join(common, "key"), "shared")
     scratch.drop("kmers")

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.scratch import Scratch, bounded_batches, skew_aware
+from millrace.llm.scratch import Scratch, bounded_batches, skew_aware, tidy
 from millrace.llm.word_hashes import by_size
 
 # Documents and (document, pair) entries after which a container is closed, and the entries from which a bitmap is smaller.
@@ -236,7 +236,7 @@ def inverted(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
         yield from held.postings()
 
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return docs.select(F.col(id_col).cast("long").alias("id"), body.alias("body")).mapInArrow(read, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("id"), body.alias("body")).mapInArrow(tidy(read), SCHEMA)
 
 
 def pair_counts(postings: DataFrame) -> DataFrame:

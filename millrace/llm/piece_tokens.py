@@ -77,6 +77,10 @@ class PieceTokenizer:
         self.ends_piece[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.ends_sentence = np.zeros_like(self.ends_piece)
         self.ends_sentence[[i for t, i in vocabulary.items() if t.endswith("</w>") and t[:-4] and t[-5] in SENTENCE_ENDS]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Lets go of the pieces met so far."""
         self.powers = [(np.ones(1, np.uint64),) * 2 for _ in BASES]
         self._empty()
 
@@ -119,7 +123,8 @@ class PieceTokenizer:
         place, count = self.place[slot], self.count[slot].astype(np.int64)
         missed = np.flatnonzero((self.keys[0][slot] != keys[0]) | (self.keys[1][slot] != keys[1]) | (count == 0))
         if len(missed):
-            _, first, same = np.unique(keys[0][missed], return_index=True, return_inverse=True)
+            both = np.stack([key[missed] for key in keys], axis=1).view([("", np.uint64)] * 2)[:, 0]
+            _, first, same = np.unique(both, return_index=True, return_inverse=True)
             new = missed[first]
             body = text.tobytes()
             found = self._new_pieces([body[s:e].decode("latin-1") for s, e in zip(start[new].tolist(), end[new].tolist(), strict=True)])

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from millrace.llm.scratch import Scratch
+from millrace.llm.scratch import Scratch, bounded_batches
 
 ROUNDS = 40
 MAX_CELLS = 100_000
@@ -128,6 +128,7 @@ def mix(
     Columns in ``drop`` are used for margins and tokens and then left out.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     sizes = [len(m.classes()) + 1 for m in margins]
     if np.prod(sizes) > MAX_CELLS:
         raise ValueError(f"the targets make more than {MAX_CELLS} cells")

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.session import fresh_path
@@ -46,3 +52,25 @@ def skew_aware(spark: SparkSession) -> None:
 def bounded_batches(spark: SparkSession) -> None:
     """Has Spark cut the batches it sends to Python by bytes too, for this session; rows alone would let long texts pile up."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def release_memory() -> None:
+    """Gives a Python worker's free memory back to the machine; its next task may be of another stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over batches, and free memory released at its end."""
+
+    @functools.wraps(run)
+    def ending(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return ending

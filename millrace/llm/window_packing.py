@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.piece_tokens import PieceTokenizer, piece_tokenizer
+from millrace.llm.scratch import bounded_batches, tidy
 
 SIZE = 2048
 END_ID = 1
@@ -150,6 +151,7 @@ class _Stream:
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of a document; ``tokenizer_path`` must be there on every executor."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     ordered = source.sortWithinPartitions("doc_id", F.xxhash64("body"))
@@ -161,7 +163,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         return pa.RecordBatch.from_arrays([pa.array(columns[0], kind), *(pa.array(c, pa.int64()) for c in columns[1:])], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = _Stream(TaskContext.get().partitionId(), piece_tokenizer(tokenizer_path))
+        tokenizer = piece_tokenizer(tokenizer_path)
+        stream = _Stream(TaskContext.get().partitionId(), tokenizer)
         kind, identities, bodies, size = None, [], [], 0
         for rows in batches:
             kind = rows.column(0).type
@@ -177,5 +180,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         stream.add(identities, bodies)
         if stream.docs:
             yield batch(stream.pack(last=True), kind)
+        tokenizer.forget()
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(tidy(run), schema)

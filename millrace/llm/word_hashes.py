@@ -18,13 +18,15 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """Powers of the base and of its inverse, at least n of each."""
+    """Powers of the base and of its inverse, at least n of each. What a text longer than BYTES_AT_ONCE needs is not held."""
     found = _POWERS.get(base)
     if found is None or found.shape[1] < n:
-        step = np.full((2, n + n // 4), base, np.uint64)
+        step = np.full((2, max(n, min(n + n // 4, BYTES_AT_ONCE))), base, np.uint64)
         step[1] = pow(base, -1, 1 << 64)
         step[:, 0] = 1
-        found = _POWERS[base] = np.multiply.accumulate(step, axis=1)
+        found = np.multiply.accumulate(step, axis=1)
+        if found.shape[1] <= 2 * BYTES_AT_ONCE:
+            _POWERS[base] = found
     return found
 
 
