@@ -164,16 +164,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` whose (id, text_sha256) ``decisions`` keeps; of repeated rows one."""
+    mark = "__"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    identity, sha, rows, text = (f"{mark}{x}" for x in ("id", "sha", "rows", "text"))
     kept = (
-        decisions.groupBy(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
-        .agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
-        .where("__kept")
+        decisions.groupBy(F.col(id_col).alias(identity), F.col("text_sha256").alias(sha))
+        .agg(F.max("kept").alias(f"{mark}kept"), F.count(F.lit(1)).alias(rows))
+        .where(f"{mark}kept")
     )
     columns = docs.columns
-    marked = docs.withColumn("__text", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha"))
-    if kept.where("__rows > 1").isEmpty():
+    marked = docs.withColumn(text, F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    same = F.col(id_col).eqNullSafe(F.col(identity)) & (F.col(text) == F.col(sha))
+    if kept.where(F.col(rows) > 1).isEmpty():
         return marked.join(kept, same, "left_semi").select(*columns)
-    single = marked.join(kept.where("__rows = 1"), same, "left_semi")
-    repeated = marked.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates([id_col, "__text"])
+    single = marked.join(kept.where(F.col(rows) == 1), same, "left_semi")
+    repeated = marked.join(kept.where(F.col(rows) > 1), same, "left_semi").dropDuplicates([id_col, text])
     return single.unionByName(repeated).select(*columns)

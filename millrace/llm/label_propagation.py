@@ -115,7 +115,7 @@ def balanced_shards(
             (F.octet_length(body) + 1).cast("long").alias("size"),
             F.crc32(body).alias("crc"),
             key.alias("g"),
-        ).withColumn("draw", unit(F.col("id"), F.col("crc"), F.lit(1))),
+        ).withColumn("draw", unit(F.col("row"), F.col("id"), F.col("crc"), F.lit(1))),
         "rows",
     )
     hubs = scratch.keep(rows.where("g IS NOT NULL").groupBy("g").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "hubs")

@@ -123,27 +123,31 @@ MIX_SEED = 11
 SOURCE_TARGETS = {"src0": 0.2, "src1": 0.05, raking.REST: 0.75}
 # No target for REST: null and further languages keep their own share.
 LANG_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
-TOPIC_TARGETS = {"a-d": 0.15, "e-n": 0.35, "o-z": 0.5, raking.REST: 0.0}
+# Nor for topics: texts without a word in any field keep their own share too.
+TOPIC_TARGETS = {"a-d": 0.15, "e-n": 0.35, "o-z": 0.5}
 
 
 def topic(counts: Column) -> Column:
-    """The field with most words, the first of those with as many."""
+    """The field with most words, the first of those with as many; null without any."""
     each = [counts[f"n{i}"] for i in range(len(FIELDS))]
-    out = F.lit(FIELDS[-1])
-    for name, count in reversed(list(zip(FIELDS, each, strict=True))[:-1]):
-        out = F.when(count == F.greatest(*each), F.lit(name)).otherwise(out)
+    out = F.lit(None).cast("string")
+    for name, count in reversed(list(zip(FIELDS, each, strict=True))):
+        out = F.when((count == F.greatest(*each)) & (count > 0), F.lit(name)).otherwise(out)
     return out
 
 
 def mixture(docs: DataFrame) -> tuple[DataFrame, list[raking.Margin], Column]:
-    """``docs`` with the column __words, and the margins and token weights that are based on it."""
-    counted = docs.withColumn("__words", raking.initials(F.col("text"), FIELDS))
+    """``docs`` with a column of word counts as its last, and the margins and token weights that are based on it."""
+    name = "__words"
+    while name in docs.columns:
+        name = f"_{name}"
+    counted = docs.withColumn(name, raking.initials(F.col("text"), FIELDS))
     found = [
         raking.Margin("source", F.col("source"), SOURCE_TARGETS),
         raking.Margin("lang", F.col("lang"), LANG_TARGETS),
-        raking.Margin("topic", topic(F.col("__words")), TOPIC_TARGETS),
+        raking.Margin("topic", topic(F.col(name)), TOPIC_TARGETS),
     ]
-    return counted, found, F.col("__words")["n"]
+    return counted, found, F.col(name)["n"]
 
 
 def op9_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +169,8 @@ def _class_sql(value: str, targets: dict) -> str:
 
 
 def _share_sql(margin: str, targets: dict) -> str:
-    shares = [w for v, w in targets.items() if v is not raking.REST] + [targets.get(raking.REST, 0.0)]
+    """The target of every class; REST has null if it keeps its own share."""
+    shares = [w for v, w in targets.items() if v is not raking.REST] + [targets.get(raking.REST, "NULL")]
     return " UNION ALL ".join(f"SELECT '{margin}' AS margin, {i} AS class, {w}::DOUBLE AS share" for i, w in enumerate(shares))
 
 
@@ -176,16 +181,19 @@ def _mix_sql(documents: str = "documents") -> str:
         f"len(regexp_extract_all(coalesce(text, ''), '{start}[{r}{r.upper()}]')) AS n{i}" for i, r in enumerate(FIELDS)
     )
     names = FIELDS
-    first = " ".join(f"WHEN n{i} = greatest(n0, n1, n2) THEN '{n}'" for i, n in enumerate(names[:-1]))
+    first = " ".join(f"WHEN n{i} = greatest(n0, n1, n2) AND n{i} > 0 THEN '{n}'" for i, n in enumerate(names))
     axes = (("source", "s"), ("lang", "l"), ("topic", "t"))
     step = "CASE " + " ".join(
         f"WHEN r.step % 3 = {k} THEN coalesce(g{a}.goal / nullif(sum(r.wanted) OVER (PARTITION BY r.{a}), 0), 0)" for k, (_, a) in enumerate(axes)
     ) + " END"
     goals = ", ".join(
-        f"""goal_{a} AS (
-            SELECT class, {BUDGET_SHARE} * (SELECT sum(tokens) FROM cells) * share
-                   / nullif(sum(share) OVER (), 0) AS goal
-            FROM shares WHERE margin = '{m}' AND class IN (SELECT {a} FROM cells GROUP BY {a} HAVING sum(tokens) > 0)
+        f"""held_{a} AS (
+            SELECT {a} AS class, sum(tokens) AS held, any_value(share) AS share, any_value(share) IS NULL AS keeps
+            FROM cells JOIN shares ON margin = '{m}' AND class = {a} GROUP BY {a} HAVING sum(tokens) > 0
+        ), goal_{a} AS (
+            SELECT class, CASE WHEN keeps THEN {BUDGET_SHARE} * held
+                   ELSE {BUDGET_SHARE} * sum(CASE WHEN keeps THEN 0 ELSE held END) OVER () * share / nullif(sum(share) OVER (), 0) END AS goal
+            FROM held_{a}
         )"""
         for m, a in axes
     )
@@ -195,7 +203,7 @@ def _mix_sql(documents: str = "documents") -> str:
             SELECT *, len(regexp_extract_all(coalesce(text, ''), '{raking.WORD}')) AS tokens, {fields} FROM {documents}
         ), classed AS (
             SELECT *, {_class_sql("source", SOURCE_TARGETS)} AS s, {_class_sql("lang", LANG_TARGETS)} AS l,
-                   {_class_sql(f"(CASE {first} ELSE '{names[-1]}' END)", TOPIC_TARGETS)} AS t
+                   {_class_sql(f"(CASE {first} END)", TOPIC_TARGETS)} AS t
             FROM counted
         ), shares AS ({_share_sql("source", SOURCE_TARGETS)} UNION ALL {_share_sql("lang", LANG_TARGETS)}
             UNION ALL {_share_sql("topic", TOPIC_TARGETS)}
@@ -207,7 +215,7 @@ def _mix_sql(documents: str = "documents") -> str:
             FROM raked r {joins} WHERE r.step < {3 * raking.ROUNDS}
         ), mixed AS (
             SELECT c.*, CASE WHEN c.tokens > 0 THEN r.wanted / r.tokens ELSE {BUDGET_SHARE} END AS p,
-                   ('0x' || substr(md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / {float(1 << 52)} AS u
+                   ('0x' || substr(md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT / {float(1 << 52)} AS u
             FROM classed c JOIN raked r ON r.step = {3 * raking.ROUNDS} AND r.s = c.s AND r.l = c.l AND r.t = c.t
         )
     """

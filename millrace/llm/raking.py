@@ -3,7 +3,7 @@
 Documents fall into the cells of a table whose margins are classes of source, language and topic. The tokens of the
 cells are counted in one distributed aggregation; then the wanted tokens of the cells are raked: scaled to each
 margin's targets in turn, never above what a cell has, for a fixed number of rounds. Each document is drawn with its
-cell's wanted share of tokens as probability, decided by a digest of its id, so a repeated run draws the same.
+cell's wanted share of tokens as probability, decided by a digest of its id and text, so a repeated run draws the same.
 
 The cells are the product of the classes that the caller names and one rest class per margin, so the collected table is
 bounded by the caller's targets, not by the data.
@@ -11,8 +11,10 @@ bounded by the caller's targets, not by the data.
 Edge cases: null or unnamed values belong to the rest class. Without a target for it, the rest class is wanted with its own
 share of the tokens, and the named classes share what is left of the budget. A class without tokens gives its weight to the others of
 its margin, in proportion. A document without tokens weighs nothing and is drawn with the share asked for overall. Targets that the
-tokens cannot meet are met as far as they go. Rows with the same id, null included, are decided alike within a
-cell. An empty table gives an empty result. The columns of the table pass through.
+tokens cannot meet are met as far as they go. The draw depends on id and text, so different texts with one id, or with
+none, are decided apart; only rows that repeat both are decided alike within a cell. An empty table gives an empty
+result. The columns of the table pass through; a table that has columns of the names to be added is refused by
+:func:`mix`, and :func:`drawn` then takes other names.
 """
 
 from __future__ import annotations
@@ -105,12 +107,18 @@ def rake(tokens: np.ndarray, shares: Sequence[np.ndarray], budget_share: float,
     return wanted
 
 
-def draw(id_text: Column, seed: int) -> Column:
-    """A number from 0 up to 1 that depends on the id and the seed alone."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_text, F.lit("")))), 1, 13)
+def draw(identity: Column, text: Column, seed: int) -> Column:
+    """A number from 0 up to 1 that depends on the id, the text and the seed alone."""
+    parts = F.lit(f"{seed}:"), F.coalesce(identity.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))
+    digits = F.substring(F.md5(F.concat(*parts)), 1, 13)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def added_columns(margins: Sequence[Margin], prefix: str) -> list[str]:
+    """All names that :func:`mix` gives to columns, on its way too."""
+    return [f"{prefix}{x}" for x in ("tokens", "draw", "probability", "drawn", *(m.name for m in margins), *(f"key_{m.name}" for m in margins))]
+
+
 def mix(
     docs: DataFrame,
     margins: Sequence[Margin],
@@ -133,10 +141,17 @@ def mix(
     if np.prod(sizes) > MAX_CELLS:
         raise ValueError(f"the targets make more than {MAX_CELLS} cells")
     names = [f"{prefix}{m.name}" for m in margins]
+    added = added_columns(margins, prefix)
+    if set(added) & set(docs.columns):
+        raise ValueError(f"the table already has columns named {sorted(set(added) & set(docs.columns))}")
     # Written, so that classes and counts are worked out once.
     classed = Scratch(spark, "raking").keep(
         docs.withColumns(
-            {f"{prefix}tokens": words(F.col(text_col)) if tokens is None else tokens} | {n: m.index() for n, m in zip(names, margins, strict=True)}
+            {
+                f"{prefix}tokens": words(F.col(text_col)) if tokens is None else tokens,
+                f"{prefix}draw": draw(F.col(id_col), F.col(text_col), seed),
+            }
+            | {n: m.index() for n, m in zip(names, margins, strict=True)}
         ).drop(*drop),
         "classed",
     )
@@ -145,7 +160,7 @@ def mix(
         table[tuple(r[n] for n in names)] = r["tokens"] or 0
     wanted = rake(table, [m.shares() for m in margins], budget_share, rounds)
     probability = np.divide(wanted, table, out=np.full_like(table, budget_share), where=table > 0)
-    keys = [f"__{n}" for n in names]
+    keys = [f"{prefix}key_{m.name}" for m in margins]
     schema = StructType([StructField(k, IntegerType()) for k in keys] + [StructField(f"{prefix}probability", DoubleType())])
     cells = spark.createDataFrame([(*map(int, at), float(x)) for at, x in np.ndenumerate(probability)], schema)
     on = [F.col(n) == F.col(k) for n, k in zip(names, keys, strict=True)]
@@ -154,10 +169,14 @@ def mix(
         classed.join(F.broadcast(cells), on)
         .drop(*keys)
         .withColumn(f"{prefix}probability", chance)
-        .withColumn(f"{prefix}drawn", draw(F.col(id_col).cast("string"), seed) < F.col(f"{prefix}probability"))
+        .withColumn(f"{prefix}drawn", F.col(f"{prefix}draw") < F.col(f"{prefix}probability"))
+        .drop(f"{prefix}draw")
     )
 
 
-def drawn(docs: DataFrame, *args, prefix: str = "mix_", **options) -> DataFrame:
+def drawn(docs: DataFrame, margins: Sequence[Margin], *args, **options) -> DataFrame:
     """The rows of ``docs`` that :func:`mix` draws, with their columns."""
-    return mix(docs, *args, prefix=prefix, **options).where(f"{prefix}drawn").select(*docs.columns)
+    prefix = "mix_"
+    while set(added_columns(margins, prefix)) & set(docs.columns):
+        prefix = f"_{prefix}"
+    return mix(docs, margins, *args, prefix=prefix, **options).where(f"{prefix}drawn").select(*docs.columns)

@@ -7,8 +7,8 @@ executor only repeats its tasks. Reading back walks the records by Content-Lengt
 responses they refer to.
 
 Edge cases: a null payload is empty; a null id is written as an empty id, loses against any other id and comes back
-null. Among rows that repeat id and payload one is the response; equal ids are told apart by a record number. Control
-characters in a URI are percent-encoded, a null URI is left out. An empty table gives an empty archive. Columns other
+null. Among rows that repeat id and payload one is the response; equal ids are told apart by a record number, and each
+row keeps its own URI. Control characters in a URI are percent-encoded, a null URI is left out. An empty table gives an empty archive. Columns other
 than id, URI and payload are not read. As text, an id must be free of control characters.
 """
 
@@ -34,12 +34,13 @@ READ_BYTES = 1 << 20
 def resolve_revisits(
     pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html", min_bytes: int = MIN_BYTES
 ) -> DataFrame:
-    """The headers of every row: row, id, bytes, sha1, record_type, refers_row, refers_to. Payloads stay where they are."""
+    """The headers of every row: row, id, uri, bytes, sha1, sha256, record_type, refers_row, refers_to. Payloads stay where they are."""
     skew_aware(pages.sparkSession)
     body = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     headers = pages.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
+        F.col(uri_col).alias("uri"),
         F.octet_length(body).cast("long").alias("bytes"),
         F.sha1(body).alias("sha1"),
         F.sha2(body, 256).alias("sha256"),
@@ -59,6 +60,7 @@ def resolve_revisits(
     return headers.join(first, same, "left").select(
         "row",
         "id",
+        "uri",
         "bytes",
         *same,
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -83,31 +85,19 @@ def write_archives(
     """Writes the archives to ``path``; ``date`` is the WARC-Date of all records, as in 2024-06-01T00:00:00Z."""
     scratch = Scratch(pages.sparkSession, "warc-write")
     resolved = scratch.keep(resolve_revisits(pages, id_col, uri_col, payload_col, min_bytes), "resolved")
-    # Rows find their headers by id and digest; repeated rows differ in nothing but the number they get here.
+    # Rows find their headers by id, URI and digest; rows equal in all three differ in nothing but the number they get here.
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     source = pages.select(F.col(id_col).alias("id"), F.col(uri_col).alias("uri"), payload.alias("payload"))
-    once = resolved.groupBy("id", "sha256").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(F.when(F.col("record_type") == "response", F.col("row"))).alias("response_row"),
-        F.min("row").alias("row"),
-        F.max("refers_row").alias("refers_row"),
-        F.max("refers_to").alias("refers_to"),
-        F.max("sha1").alias("sha1"),
-        F.max("bytes").alias("bytes"),
+    keyed = source.withColumn("sha256", F.sha2(F.col("payload").cast("binary"), 256))
+    headers = resolved.select(
+        F.col("id").alias("h_id"), F.col("uri").alias("h_uri"), F.col("sha256").alias("h_sha"), "row",
+        (F.col("record_type") == "revisit").alias("revisits"), "refers_row", "refers_to", "sha1",
     )
-    if once.where("rows > 1").isEmpty():
-        headers = once.select(
-            F.col("id").alias("h_id"), F.col("sha256").alias("h_sha"), "row", F.col("response_row").isNull().alias("revisits"), "refers_row", "refers_to", "sha1"
-        )
-        keyed = source.withColumn("sha256", F.sha2(F.col("payload").cast("binary"), 256))
-        records = keyed.join(headers, keyed["id"].eqNullSafe(headers["h_id"]) & (keyed["sha256"] == headers["h_sha"]))
-    else:
-        # Payloads of repeated rows are written once per row: the row numbers are dealt out among equal rows.
-        texts = source.withColumn("sha256", F.sha2(F.col("payload").cast("binary"), 256)).dropDuplicates(["id", "sha256"])
-        headers = resolved.select(
-            F.col("id").alias("h_id"), F.col("sha256").alias("h_sha"), "row", (F.col("record_type") == "revisit").alias("revisits"), "refers_row", "refers_to", "sha1"
-        )
-        records = headers.join(texts, texts["id"].eqNullSafe(headers["h_id"]) & (texts["sha256"] == headers["h_sha"]))
+    if not resolved.groupBy("id", "uri", "sha256").count().where("count > 1").isEmpty():
+        # Of such rows one payload is read, and written once per header.
+        keyed = keyed.dropDuplicates(["id", "uri", "sha256"])
+    same = keyed["id"].eqNullSafe(headers["h_id"]) & keyed["uri"].eqNullSafe(headers["h_uri"]) & (keyed["sha256"] == headers["h_sha"])
+    records = keyed.join(headers, same)
     uri = F.replace(F.replace(F.regexp_replace("uri", r"[\x00-\x09\x0B\x0C\x0E-\x1F\x7F]", "%20"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
     def line(name, value):

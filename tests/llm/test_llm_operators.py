@@ -412,3 +412,70 @@ def test_pipeline_stages(spark, texts):
         if name == "near_duplicates":
             assert len([t for t in after if t.startswith(("b", "c", "d", "f", "g", "h", "k", "l", "m"))]) >= 4
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= docs.count()
+
+
+def test_mixture_decides_texts_with_one_id_apart(spark):
+    """Null or repeated ids do not tie different texts together, and columns of the mixture's own names stay as they are."""
+    rows = [(None if i % 2 else 7, f"text {i}", "en", "src0", f"kept{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, mix_drawn string")
+    got = corpus_pipeline.mixture(spark, docs, "").collect()
+    assert 100 < len(got) < 300 and {r.mix_drawn for r in got} <= {f"kept{i}" for i in range(400)}
+    counted, margins, tokens = queries.mixture(docs)
+    with pytest.raises(ValueError, match="mix_drawn"):
+        raking.mix(counted, margins, 0.5, tokens)
+
+
+def test_mixture_equals_brute_force(spark, texts):
+    """Drawn rows follow from the raked cells and the digest; texts without a word in a field keep their share."""
+    others = [(50 + i, t, 0, 1, 2, lang, "s") for i, (t, lang) in enumerate([("Привет мир", "ru"), ("漢字 かな", None), ("123 456", "en"), ("élan école", "fr")] * 4)]
+    docs = texts.unionByName(spark.createDataFrame(others, texts.schema))
+    cells, rows = Counter(), []
+    for r in docs.collect():
+        found = [w for w in (r.text or "").encode().split()]
+        counts = [sum(chr(w[0]).lower() in letters for w in found if w[0] < 128) for letters in ("abcd", "efghijklmn", "opqrstuvwxyz")]
+        at = 2, ["en", "de", "fr", "es"].index(r.lang) if r.lang in ("en", "de", "fr", "es") else 4, counts.index(max(counts)) if any(counts) else 3
+        cells[at] += len(found)
+        rows.append((r.doc_id, r.text, at, len(found)))
+    table = np.zeros((3, 5, 4))
+    for at, n in cells.items():
+        table[at] = n
+    shares = [np.array([0.2, 0.05, 0.75]), np.array([0.5, 0.2, 0.2, 0.1, np.nan]), np.array([0.15, 0.35, 0.5, np.nan])]
+    wanted = raking.rake(table, shares, queries.BUDGET_SHARE)
+    want = Counter()
+    for i, t, at, n in rows:
+        key = f"{queries.MIX_SEED}:{'' if i is None else i}:{hashlib.md5((t or '').encode()).hexdigest()}"
+        if int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 2**52 < (wanted[at] / table[at] if n else queries.BUDGET_SHARE):
+            want[i, t] += 1
+    assert Counter((r.doc_id, r.text) for r in corpus_pipeline.mixture(spark, docs, "").collect()) == want
+
+
+def test_mixture_sql_has_further_languages(spark, tmp_path):
+    """The SQL twin on a table with null and further languages and texts of no topic."""
+    import duckdb
+
+    langs = ["en", "en", "de", None, "it"]
+    rows = [(i, ["bar", "hat", "pip", "мир", ""][i // 5 % 5] * (i % 3 + 1) + " x" * (i % 2), langs[i % 5], f"src{i % 4}") for i in range(500)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert spark_rows(queries.op9_raking(spark, str(tmp_path))) == duck_rows(con, queries.ORACLE_SQL["op9_raking"])
+
+
+def test_archives_keep_every_uri(spark, tmp_path):
+    rows = [(7, "u1", "X" * 1500), (7, "u2", "X" * 1500), (7, "u2", "X" * 1500), (None, "a", None), (None, "b", None), (8, "u1", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc_revisits.write_archives(pages, str(tmp_path / "w"), queries.WARC_DATE)
+    got = warc_revisits.read_archives(spark, str(tmp_path / "w")).collect()
+    assert Counter((r.id, r.uri, r.payload_bytes) for r in got) == Counter((i, u, len(h or "")) for i, u, h in rows)
+    assert [r.record_type for r in got if r.id == 7].count("response") == 1
+
+
+def test_repeated_rows_spread_over_slices(spark):
+    docs = spark.createDataFrame([(1, "same")] * 2000, "doc_id long, text string")
+    got = label_propagation.balanced_shards(docs, 8, slice_rows=100)
+    assert sorted((r.shard, r.n, r.low, r.high) for r in got.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high")).collect()) == [(s, 250, 0, 249) for s in range(8)]
+
+
+def test_kept_rows_keep_columns_of_inner_names(spark):
+    docs = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (2, "a", "y")], "doc_id long, text string, __text string")
+    assert [tuple(r) for r in block_naming.exact_dedup(docs).collect()] == [(2, "a", "y")]
