@@ -213,14 +213,7 @@ def _(table, p):
 
 
 def _isolated_store(spark: SparkSession) -> tuple[TableStore, str]:
-    return TableStore(spark, fresh_path(spark, "tables")), f"check_{uuid.uuid4().hex[:12]}"
-
-
-def _detached(store: TableStore, schema: str, table: str) -> DataFrame:
-    """The stored rows, after the check's own table definitions are gone again."""
-    path = store.location(schema, table)
-    store.spark.sql(f"DROP DATABASE `{schema}` CASCADE")
-    return store.spark.read.parquet(path)
+    return TableStore(spark, fresh_path(spark, "tables"), publish=False), f"check_{uuid.uuid4().hex[:12]}"
 
 
 @query("s7_staging_load")
@@ -230,7 +223,7 @@ def _(table, p):
     source = replace(staging.SOURCES["portal"], schema=schema)
     for _ in ("first load", "reload"):
         staging.load_table(store, source, "staff_attendances", lambda _: data, p.load_ts)
-    return _detached(store, schema, "stg_staff_attendances")
+    return store.read(schema, "stg_staff_attendances")
 
 
 @query("s8_batch_load")
@@ -250,7 +243,7 @@ def _(table, p):
     data = table("jira.dim_members")
     store, schema = _isolated_store(data.sparkSession)
     store.overwrite(schema, "dim_members", data)
-    return _detached(store, schema, "dim_members")
+    return store.read(schema, "dim_members")
 
 
 @query("s11_unique_key", REFERENCE)
@@ -268,6 +261,18 @@ def _(table, p):
     return snapshots.change_counts(old, table(view.name), view.unique_key)
 
 
+@query("s11_merged_view", DELIVERY, {c: 8 for c in ("actual_efforts", "predicting_efforts", "pod_efforts", "free_efforts")})
+def _(table, p):
+    """The view as it is stored after two refreshes."""
+    view = MODELS["jira.mview_member_free_effort"]
+    worklog, members, efforts = (table(i) for i in view.inputs)
+    before = worklog.where(F.col("start_time") < F.lit(OLD_VIEW_CUTOFF).cast("timestamp_ntz"))
+    store, schema = _isolated_store(worklog.sparkSession)
+    for state in (free_effort.build(before, members, efforts, p), table(view.name)):
+        snapshots.refresh(store, schema, "view", state, view.unique_key)
+    return store.read(schema, "view")
+
+
 VIEW_DIGITS = {
     c: 8 for c in ("actual_efforts", "predicting_efforts", "pod_efforts", "free_efforts")
 }
@@ -356,7 +361,7 @@ def _(spark, read):
     store, schema = _isolated_store(spark)
     for status in (runlog.SUCCESS, runlog.FAILURE):
         store.append(schema, "etl_job_logs", entries.where(F.col("status") == status))
-    return _detached(store, schema, "etl_job_logs")
+    return store.read(schema, "etl_job_logs")
 
 
 @scan_query("s19_expired_backups")

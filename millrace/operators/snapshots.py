@@ -1,12 +1,15 @@
-"""A materialised view as a keyed snapshot: unique-key check, difference to the last version, swap."""
+"""A materialised view as a keyed snapshot: unique-key check, difference to the last version, merge by key bucket."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.sources.tables import TableStore
+from millrace.sources.tables import TableStore, Version
+
+BUCKETS = 64
+BUCKET = "key_bucket"
 
 
 class DuplicateKeys(Exception):
@@ -21,19 +24,25 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return known.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
+def _digests(columns: Sequence[str]) -> list[Column]:
+    """Two independent 64-bit digests of a row, which tell a missing value from any other."""
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys of both versions with their ``change`` (insert, delete, update or keep) and its ``row_count``.
 
     A missing key part equals a missing one, and such a key may have several rows: equal rows of both versions
-    are kept, of the others as many as both sides have are updates, and what is left over came or went. The rows
-    are counted rather than joined, so a hot key shrinks before it is shuffled.
+    are kept, of the others as many as both sides have are updates, and what is left over came or went. Rows are compared by
+    a 128-bit digest, so keys and digests are all that is shuffled, and they are counted rather than joined, so a hot
+    key shrinks before it moves.
     """
-    columns = list(new.columns)
-    # Arrays and structs can be grouped by, maps cannot; the tables of this library have none.
-    rows = old.select(*columns, F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
-        new.select(*columns, F.lit(0).alias("_old"), F.lit(1).alias("_new"))
+    first, second = _digests(new.columns)
+    rows = old.select(*new.columns).select(*keys, first.alias("_first"), second.alias("_second"), F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
+        new.select(*keys, first.alias("_first"), second.alias("_second"), F.lit(0).alias("_old"), F.lit(1).alias("_new"))
     )
-    per_row = rows.groupBy(*columns).agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+    per_row = rows.groupBy(*keys, "_first", "_second").agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
     same = F.least("_old", "_new")
     per_key = per_row.groupBy(*keys).agg(
         F.sum(same).alias("keep"), F.sum(F.col("_old") - same).alias("_gone"), F.sum(F.col("_new") - same).alias("_come")
@@ -48,23 +57,59 @@ def change_counts(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     return snapshot_changes(old, new, keys).groupBy("change").agg(F.sum("row_count").alias("row_count"))
 
 
+def _staged(store: TableStore, schema: str, table: str, new: DataFrame, keys: Sequence[str], buckets: int) -> dict[str, dict]:
+    """Writes the rows by key bucket to folders that no version names yet: path to bucket, rows and digest."""
+    if BUCKET in new.columns:
+        raise ValueError(f"a view cannot have a column named {BUCKET}")
+    path = store.fresh_folder(schema, table)
+    placed = new.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    placed.write.partitionBy(BUCKET).parquet(path)
+    wide = [d.cast("decimal(20,0)") for d in _digests(new.columns)]
+    stored = store.spark.read.schema(placed.schema).parquet(path)
+    sums = stored.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), *[F.sum(d).cast("string").alias(f"d{i}") for i, d in enumerate(wide)])
+    return {
+        f"{path}/{BUCKET}={r[BUCKET]}": {"bucket": r[BUCKET], "rows": r["rows"], "digest": f"{r['d0']}:{r['d1']}"}
+        for r in sums.collect()  # a row per bucket
+    }
+
+
 def refresh(
-    store: TableStore, schema: str, table: str, new: DataFrame, keys: Sequence[str]
+    store: TableStore, schema: str, table: str, new: DataFrame, keys: Sequence[str], buckets: int = BUCKETS
 ) -> dict[str, int]:
-    """Stores a new version of a view and returns how many rows changed, by kind.
+    """Merges a new state of a view into its table and returns how many rows changed, by kind.
 
-    The new version is written and checked before the table points at it; readers keep the old version
-    until then, and a duplicate key leaves it in place.
+    The table lies in buckets by the hash of the key. The new rows are computed once, into a folder of their own; a bucket whose
+    number of rows and sum of row digests are those of the stored one keeps its files, and its new copy goes.
+    Only the others are compared row by row, checked for duplicate keys and put in the table's next version; readers
+    keep the old one until then, and a duplicate key leaves it in place.
     """
-    fresh = store.write_version(schema, table, new)
-    stored = store.spark.read.parquet(fresh)
-    sample = duplicate_keys(stored, keys).take(1)
+    before = store.version(schema, table)
+    layout = {"keys": list(keys), "buckets": buckets}
+    fresh = _staged(store, schema, table, new, keys, buckets)
+    held: dict[str, dict] = {}
+    if before is not None and before.layout == layout and before.schema.names == new.columns:
+        held = dict(before.folders)
+    unchanged = {(f["bucket"], f["rows"], f["digest"]): p for p, f in held.items()}
+    kept, changed = {}, {}
+    for path, known in fresh.items():
+        old = unchanged.get((known["bucket"], known["rows"], known["digest"]))
+        if old is None:
+            changed[path] = known
+        else:
+            kept[old] = known
+    version = Version(before.number + 1 if before else 1, new.schema, kept | changed, layout)
+    rows = store.rows_of(version, list(changed))
+    sample = duplicate_keys(rows, keys).take(1)
     if sample:
         raise DuplicateKeys(f"{schema}.{table} has several rows for {sample[0].asDict()}")
-    if store.exists(schema, table):
-        changes = change_counts(store.read(schema, table), stored, keys)
-        counts = {row["change"]: row["row_count"] for row in changes.collect()}
+    counts = {"keep": sum(f["rows"] for f in kept.values())}
+    if before is None:
+        counts["insert"] = sum(f["rows"] for f in changed.values())
     else:
-        counts = {"insert": stored.count()}
-    store.point_at(schema, table, fresh)
-    return counts
+        replaced = store.rows_of(before, [p for p in before.folders if p not in kept])
+        for row in change_counts(replaced.select(*new.columns), rows, keys).collect():
+            counts[row["change"]] = counts.get(row["change"], 0) + row["row_count"]
+    store.commit(schema, table, version)
+    for path in fresh.keys() - changed.keys():
+        store.remove(path)
+    return {kind: n for kind, n in counts.items() if n}

@@ -7,6 +7,7 @@ failed table is logged and everything that reads it is skipped.
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -82,17 +83,22 @@ def _checked(outcome: Outcome) -> DataFrame:
 
 
 def record(store: TableStore, outcomes: list[Outcome], p: Params) -> None:
-    """Appends the log, the row counts and the check results of a run, one write each."""
-    store.append(MONITORING, LOGS, _log_entries(store, outcomes, p))
+    """Appends the log, the row counts and the check results of a run, one write each.
+
+    A batch is a set of tables at a load time, so a repeated run replaces its own record.
+    """
+    tables = hashlib.md5("\n".join(sorted(o.name for o in outcomes)).encode()).hexdigest()
+    batch = f"{p.load_ts.isoformat()} {tables}"
+    store.append(MONITORING, LOGS, _log_entries(store, outcomes, p), batch)
     loaded = [o for o in outcomes if isinstance(o.result, DataFrame)]
     if not loaded:
         return
-    store.append(MONITORING, COUNTS, _union(runlog.row_count(o.result, o.name, p.load_ts) for o in loaded))
+    store.append(MONITORING, COUNTS, _union(runlog.row_count(o.result, o.name, p.load_ts) for o in loaded), batch)
     run_ts = F.lit(p.load_ts.isoformat(" ")).cast("timestamp_ntz").alias("run_ts")
     # A check runs a few small jobs in a row; threads let those of several tables share the cluster.
     with ThreadPoolExecutor(PARALLEL_CHECKS) as pool:
         checks = _union(pool.map(_checked, loaded))
-    store.append(MONITORING, CHECKS, checks.select(run_ts, "*"))
+    store.append(MONITORING, CHECKS, checks.select(run_ts, "*"), batch)
 
 
 def load_staging(store: TableStore, extract: Callable[[str, str], DataFrame], p: Params) -> list[Outcome]:
