@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
-from functools import cache, partial
+from functools import cache, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -228,14 +228,21 @@ def _(table, p):
 
 @query("s8_batch_load")
 def _(table, p):
-    cleaned = {
-        f"{source.schema}.{staging.staged_name(t)}": staging.clean(
-            table(f"{source.schema}.{staging.staged_name(t)}"), source, p.load_ts
-        )
-        for source in staging.SOURCES.values()
-        for t in source.tables
-    }
-    return runlog.total_rows(cleaned)
+    """Rows and content of every staging table as it is stored after the batch load."""
+    store, _ = _isolated_store(table("src_create.stg_users").sparkSession)
+
+    def extract(name: str, t: str) -> DataFrame:
+        return table(f"{staging.SOURCES[name].schema}.{staging.staged_name(t)}")
+
+    loaded = staging.load_all(store, extract, p.load_ts)
+    for result in loaded.values():
+        if isinstance(result, Exception):
+            raise result
+    parts = []
+    for name, t in loaded:
+        schema, staged = staging.SOURCES[name].schema, staging.staged_name(t)
+        parts.append(runlog.content_digest(store.read(schema, staged), f"{schema}.{staged}"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("s9_materialise")

@@ -7,6 +7,7 @@ import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import BooleanType, DateType, FractionalType, IntegralType, StringType, TimestampNTZType, TimestampType
 
 SUCCESS, FAILURE = "SUCCESS", "FAILURE"
 
@@ -84,6 +85,32 @@ def total_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, counts)
 
 
+def _cell_text(df: DataFrame, name: str) -> Column:
+    """A cell as a text that any engine can form: fractions as millionths, times as ISO text, a missing cell unlike any other."""
+    kind, cell = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, FractionalType):
+        text = F.round(cell.cast("double") * 1_000_000).cast("decimal(38,0)").cast("string")
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        text = F.date_format(cell, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif isinstance(kind, (IntegralType, BooleanType, DateType, StringType)):
+        text = cell.cast("string")
+    else:
+        text = F.to_json(cell)
+    return F.coalesce(F.concat(F.lit("="), text), F.lit("-"))
+
+
+def content_digest(df: DataFrame, table: str) -> DataFrame:
+    """table_name, row_count and content_digest: the sum of a 60-bit digest per row, whatever the order of rows and columns.
+
+    One aggregate over the table; tables of the same rows, repeated ones included, have the same digest.
+    """
+    row = F.md5(F.concat_ws("\x1f", *[_cell_text(df, c) for c in sorted(df.columns)]))
+    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).cast("decimal(38,0)").cast("string").alias("content_digest")).select(
+        F.lit(table).alias("table_name"), "row_count", "content_digest"
+    )
+
+
 def load_check(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The sum over all tables and whether it is present and above zero."""
     return (

@@ -336,3 +336,14 @@ def test_quantiles_need_few_rounds(spark, monkeypatch):
     wide = spark.range(5000).select(F.pow(F.lit(10.0), F.col("id") % 600 - 300).alias("v"))
     quantiles.exact_quantiles(wide, ["v"], [0.05, 0.95])
     assert len(rounds) <= 6
+
+
+def test_content_digest_sees_cells_and_not_their_order(spark):
+    schema = "a int, b string, c double, d timestamp_ntz, e array<int>"
+    rows = [(1, "x", 0.5, dt.datetime(2024, 1, 2, 3, 4, 5, 6), [1, 2]), (None, None, None, None, None), (1, "", -0.0, None, [])]
+    digest = lambda r, order="abcde": runlog.content_digest(spark.createDataFrame(r, schema).select(*order), "t").first()
+    first = digest(rows)
+    assert tuple(first)[:2] == ("t", 3) and first == digest(rows[::-1], "edcba")
+    others = [rows[:2], [*rows, rows[0]], [(2, *rows[0][1:]), *rows[1:]], [rows[0], (None, "", None, None, None), rows[2]], [(1, "x", 0.500001, *rows[0][3:]), *rows[1:]]]
+    assert len({digest(o)["content_digest"] for o in others} | {first["content_digest"]}) == 6
+    assert tuple(digest([])) == ("t", 0, "0")
