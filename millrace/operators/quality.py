@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StructType
 
-from millrace.operators.quantiles import ColumnRange, exact_quantiles, usable
+from millrace.operators.quantiles import ColumnRange, exact_quantiles, sketch, usable
 
 # The expectation names, the percentiles, the outlier limit and the tolerated shares.
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -69,6 +69,7 @@ def profile(df: DataFrame) -> Profile:
             F.count(value).alias(f"n{i}"),
             F.min(value).alias(f"lo{i}"),
             F.max(value).alias(f"hi{i}"),
+            sketch(c).alias(f"k{i}"),
             F.mean(value).alias(f"m{i}"),
             F.stddev_samp(value).alias(f"s{i}"),
         ]
@@ -77,7 +78,7 @@ def profile(df: DataFrame) -> Profile:
         rows=row["rows"],
         filled={c: row[f"f{i}"] for i, c in enumerate(df.columns)},
         ranges={
-            c: ColumnRange(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(numeric)
+            c: ColumnRange(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"k{i}"]) for i, c in enumerate(numeric)
         },
         mean={c: row[f"m{i}"] for i, c in enumerate(numeric)},
         deviation={c: row[f"s{i}"] for i, c in enumerate(numeric)},

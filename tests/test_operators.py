@@ -347,3 +347,43 @@ def test_content_digest_sees_cells_and_not_their_order(spark):
     others = [rows[:2], [*rows, rows[0]], [(2, *rows[0][1:]), *rows[1:]], [rows[0], (None, "", None, None, None), rows[2]], [(1, "x", 0.500001, *rows[0][3:]), *rows[1:]]]
     assert len({digest(o)["content_digest"] for o in others} | {first["content_digest"]}) == 6
     assert tuple(digest([])) == ("t", 0, "0")
+
+
+def test_quantiles_widen_a_bracket_that_missed(spark, monkeypatch):
+    """Values stay exact even if every bracket lies wrong."""
+    right = quantiles._brackets
+    monkeypatch.setattr(quantiles, "_brackets", lambda *a: [quantiles.replace(b, low=40.0, high=41.0) for b in right(*a)])
+    df = spark.range(101).select(F.col("id").cast("double").alias("v"))
+    assert quantiles.exact_quantiles(df, ["v"], [0.0, 0.105, 0.4, 0.9, 1.0])["v"] == pytest.approx([0.0, 10.5, 40.0, 90.0, 100.0])
+
+
+def test_quantiles_scan_the_table_three_times(spark, tmp_path):
+    """Ten columns: sketches, counts and the values within the brackets; what follows reads the checkpointed values."""
+    wide = spark.range(30_000).select(*[(F.xxhash64("id", F.lit(i)) % 10_007).cast("double").alias(f"c{i}") for i in range(10)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    tracked = spark.read.parquet(str(tmp_path / "wide"))
+    scans = []
+    real = {n: getattr(quantiles, n) for n in ("column_ranges", "_counted", "_values_within", "_counted_again", "_at_infinity")}
+    for name, function in real.items():
+        def counted(*a, _name=name, _function=function, **k):
+            if a and a[0] is tracked and (len(a) < 2 or a[1]):
+                scans.append(_name)
+            return _function(*a, **k)
+
+        setattr(quantiles, name, counted)
+    try:
+        found = quantiles.exact_quantiles(tracked, tracked.columns, [0.05, 0.95])
+    finally:
+        for name, function in real.items():
+            setattr(quantiles, name, function)
+    assert scans == ["column_ranges", "_counted", "_values_within"]
+    for c in tracked.columns:
+        assert found[c] == pytest.approx([_linear([r[c] for r in tracked.select(c).collect()], s) for s in (0.05, 0.95)])
+
+
+def test_values_within_brackets_are_few(spark):
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    ranges = quantiles.column_ranges(df, ["v"])
+    brackets = quantiles._counted(df, quantiles._brackets(df, ranges, ["v"], [0.05, 0.95]))
+    assert sum(b.rows for b in brackets) < 0.03 * 200_000
+    assert "Generate" not in df.agg(quantiles.sketch("v"))._jdf.queryExecution().executedPlan().toString()
