@@ -9,9 +9,10 @@ from __future__ import annotations
 import functools
 import hashlib
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import calendar, quality, runlog, snapshots
@@ -25,6 +26,7 @@ LOGS, COUNTS, CHECKS = "etl_job_logs", "row_counts", "quality_results"
 
 CALENDAR = ("dwh", "time_series")
 PARALLEL_CHECKS = 8
+PARALLEL_MODELS = 4
 CHECKS_RAN = "checks_ran"
 
 # The database names a run log entry carries.
@@ -123,35 +125,54 @@ def _store_model(store: TableStore, name: str, p: Params) -> DataFrame:
     return store.overwrite(schema, table, built)
 
 
-def build_models(store: TableStore, targets: Iterable[str], p: Params) -> list[Outcome]:
-    """Builds ``targets`` and the models they need from stored tables, inputs first."""
+def _outcome(name: str, result: DataFrame | Exception) -> Outcome:
+    schema, table = name.split(".")
+    in_warehouse = schema == WAREHOUSE_DB
+    return Outcome(
+        job="staging_to_warehouse" if in_warehouse else "warehouse_to_mart",
+        source_db=STAGING_DB if in_warehouse else WAREHOUSE_DB,
+        target_db=WAREHOUSE_DB if in_warehouse else MART_DB,
+        sources=MODELS[name].inputs,
+        name=name,
+        logged_as=table if in_warehouse else runlog.mart_target(schema, table),
+        result=result,
+    )
+
+
+def build_models(store: TableStore, targets: Iterable[str], p: Params, parallel: int = PARALLEL_MODELS) -> list[Outcome]:
+    """Builds ``targets`` and the models they need from stored tables, inputs first.
+
+    A model starts as soon as the ones it reads are stored, up to ``parallel`` at a time, each in a scheduler pool of
+    its own, so that with fair scheduling a small one need not wait for a large one's tasks. A failed model blocks
+    what reads it and nothing else.
+    """
     if not store.exists(*CALENDAR):
         store.overwrite(*CALENDAR, calendar.time_series(store.spark))
-    outcomes: list[Outcome] = []
-    failed: set[str] = set()
-    for name in run_order(targets):
-        entry = MODELS[name]
-        schema, table = name.split(".")
-        blocked = failed.intersection(entry.inputs)
+    order = run_order(targets)
+    results: dict[str, DataFrame | Exception] = {}
+
+    def build(name: str) -> DataFrame | Exception:
+        store.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         try:
-            if blocked:
-                raise RuntimeError(f"not built: {', '.join(sorted(blocked))}")
-            result: DataFrame | Exception = _store_model(store, name, p)
+            return _store_model(store, name, p)
         except Exception as error:  # noqa: BLE001 - reported per table
-            result = error
-            failed.add(name)
-        in_warehouse = schema == WAREHOUSE_DB
-        outcomes.append(
-            Outcome(
-                job="staging_to_warehouse" if in_warehouse else "warehouse_to_mart",
-                source_db=STAGING_DB if in_warehouse else WAREHOUSE_DB,
-                target_db=WAREHOUSE_DB if in_warehouse else MART_DB,
-                sources=entry.inputs,
-                name=name,
-                logged_as=table if in_warehouse else runlog.mart_target(schema, table),
-                result=result,
-            )
-        )
+            return error
+
+    with ThreadPoolExecutor(parallel) as pool:
+        waiting, running = list(order), {}
+        while waiting or running:
+            for name in [n for n in waiting if all(i in results for i in MODELS[n].inputs if i in order)]:
+                waiting.remove(name)
+                failed = [i for i in MODELS[name].inputs if isinstance(results.get(i), Exception)]
+                if failed:
+                    results[name] = RuntimeError(f"not built: {', '.join(sorted(failed))}")
+                else:
+                    running[pool.submit(inheritable_thread_target(store.spark)(build), name)] = name
+            # A blocked model may have made others ready to be blocked.
+            if running and not any(all(i in results for i in MODELS[n].inputs if i in order) for n in waiting):
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    results[running.pop(future)] = future.result()
+    outcomes = [_outcome(name, results[name]) for name in order]
     record(store, outcomes, p)
     return outcomes
 

@@ -1,6 +1,7 @@
 """A stored run end to end: staging, models, view, log, counts, checks and reports."""
 
 import datetime as dt
+import threading
 from dataclasses import replace
 
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 
 from harness import catalogue
 from millrace.operators import runlog
-from millrace.plans import runs
-from millrace.plans.registry import MODELS
+from millrace.plans import registry, runs
+from millrace.plans.registry import MODELS, Model
 from millrace.session import fresh_path
 from millrace.sources import staging
 from millrace.sources.tables import TableStore
@@ -99,3 +100,29 @@ def test_checks_that_fail_stay_with_their_table(spark, store, monkeypatch):
     got = store.read("monitoring", runs.CHECKS).collect()
     assert [(r.expectation, r.success) for r in got if r.table_name == "src_jira.bad"] == [("checks_ran: KeyError", False)]
     assert len([r for r in got if r.table_name == "src_jira.good"]) > 1
+
+
+def test_independent_models_are_built_at_the_same_time(spark, store, monkeypatch):
+    """Two models that wait for each other's start both get built; readers come after, and only those of a failed one are skipped."""
+    together = threading.Barrier(2, timeout=60)
+    started = []
+
+    def make(table, inputs=(), wait=False, fails=False):
+        def build(found, p):
+            started.append(table)
+            if wait:
+                together.wait()
+            if fails:
+                raise OSError("lost")
+            return spark.range(1 + sum(f.count() for f in found.values()))
+
+        return f"m.{table}", Model(table, tuple(f"m.{i}" for i in inputs), build, "m")
+
+    models = dict([make("a", wait=True), make("b", wait=True), make("c", ["a", "b"]), make("d", fails=True), make("e", ["d", "a"]), make("f", ["e"])])
+    for module in (runs, registry):
+        monkeypatch.setattr(module, "MODELS", models)
+    outcomes = {o.name: o.result for o in runs.build_models(store, models, catalogue.HR)}
+    assert [n for n, r in outcomes.items() if isinstance(r, Exception)] == ["m.d", "m.e", "m.f"]
+    assert outcomes["m.c"].count() == 3 and started.index("c") > max(started.index("a"), started.index("b"))
+    assert "not built: m.e" in str(outcomes["m.f"]) and "e" not in started
+    spark.sql("DROP DATABASE IF EXISTS m CASCADE")
