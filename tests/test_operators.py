@@ -215,8 +215,31 @@ def test_splittable_join_refuses_joins_it_cannot_split(hot_fact):
 
 def test_left_join_with_hot_right_side(spark, hot_fact):
     left = spark.range(0, 500).select(F.when(F.col("id") != 9, F.col("id").cast("int")).alias("k"), F.lit("x").alias("l"))
-    fast = joins.left_join_hot_right(left, hot_fact, ["k"])
-    assert same_rows(fast, left.join(hot_fact, "k", "left"))
+    plain = left.join(hot_fact, "k", "left")
+    for rows in (1, joins.HEAVY_ROWS):
+        assert same_rows(joins.left_join_hot_right(left, hot_fact, ["k"], rows=rows), plain)
+    repeated = left.union(left.where("k = 7"))
+    assert same_rows(joins.left_join_hot_right(repeated, hot_fact, ["k"], salts=5, rows=1), repeated.join(hot_fact, "k", "left"))
+
+
+def test_heavy_keys(spark, hot_fact):
+    assert joins.heavy_keys(hot_fact, ["k"], rows=1000) == ['{"k":7}']
+    assert joins.heavy_keys(hot_fact, ["k"]) == [] and joins.heavy_keys(hot_fact.limit(0), ["k"]) == []
+    two = hot_fact.select("k", F.when(F.col("id") % 2 == 0, "a").alias("b"))
+    assert joins.heavy_keys(two, ["k", "b"], rows=500) == ['{"k":7,"b":"a"}']
+
+
+def test_hot_right_rows_part(spark, hot_fact, small_partitions):
+    """Both sides are read once, and no task of the join holds a third of the rows."""
+    left = spark.range(0, 500).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("l"))
+    joined = joins.left_join_hot_right(left, hot_fact, ["k"], rows=1)
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Range (") == 2
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(per_task) < 0.2 * hot_fact.count()
 
 
 # Quantiles ---------------------------------------------------------------------------------------

@@ -67,3 +67,10 @@ def test_filters_reach_the_scan(spark, sf_dir):
     plan = analyses.worked_time(work, members, "A", 7)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,A)" in plan and "EqualTo(l_partkey,7)" in plan
     assert columns_read(plan, "lineitem") == {"l_partkey", "l_returnflag", "l_quantity"}, plan
+
+
+def test_projects_read_each_source_once(spark, sf_dir):
+    """Portal projects and facts are joined without reading either side again."""
+    plan = physical(spark, sf_dir, "w13_projects")
+    before = plan.split("== Initial Plan ==")[0]
+    assert before.count("/lineitem.parquet") <= 1 and before.count("/supplier.parquet") <= 1, plan
