@@ -207,6 +207,20 @@ def _(spark, read):
     return cleaning.strip_nul(documents).select("_id", "body", F.length("body").alias("body_length"))
 
 
+@scan_query("s2_changed_documents")
+def _(spark, read):
+    """An export whose documents have fields, one of them nested, that the declared schema does not know, as it is staged."""
+    path = fresh_path(spark, "documents-export")
+    documents = _documents(read)
+    documents.write.json(path)
+    declared = documents.drop("body").withColumn("author", F.col("author").dropFields("text")).schema
+    exported = readers.extract_document_data(spark, path, declared, surplus="stage")
+    store, schema = _isolated_store(spark)
+    source = replace(staging.SOURCES["portal"], schema=schema)
+    staging.load_table(store, source, "turns", lambda _: exported, LOAD_TS)
+    return store.read(schema, "stg_turns")
+
+
 @query("s6_load_stamp")
 def _(table, p):
     return staging.clean(table("src_create.stg_users"), staging.SOURCES["portal"], p.load_ts)

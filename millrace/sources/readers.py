@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType, VariantType
 
 # How many names an error message lists.
 SHOWN = 20
@@ -70,6 +71,12 @@ class UndeclaredFields(Exception):
     """The documents hold fields that the declared schema does not name."""
 
 
+def _documents(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """One variant per document; a file may hold an array of them."""
+    read = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST").option("singleVariantColumn", "document").json(path)
+    return read.selectExpr("explode(coalesce(try_variant_get(document, '$', 'array<variant>'), array(document))) AS document")
+
+
 def undeclared_fields(
     spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
 ) -> DataFrame:
@@ -78,36 +85,74 @@ def undeclared_fields(
     One pass over the export; field names are counted in each task before they are shuffled.
     """
     declared = spark.createDataFrame([], schema).columns
-    documents = (
-        spark.read.option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("singleVariantColumn", "document")
-        .json(path)
-    )
-    # A file may hold an array of documents.
-    each = documents.selectExpr(
-        "explode(coalesce(try_variant_get(document, '$', 'array<variant>'), array(document))) AS document"
-    )
+    each = _documents(spark, path, multi_line)
     fields = each.select(F.explode(F.map_keys(F.expr("cast(document as map<string, variant>)"))).alias("field"))
     return fields.where(~F.col("field").isin(declared)).groupBy("field").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def document_schema(spark: SparkSession, path: str, multi_line: bool = False) -> StructType:
+    """The fields of all documents at every depth, merged in one distributed aggregate.
+
+    A field that is an object in one document and not in another, or has numbers and texts, is a variant.
+    """
+    tree = _documents(spark, path, multi_line).selectExpr("schema_of_variant_agg(document) AS tree").first()["tree"]
+    kind = spark.sql(f"SELECT CAST(NULL AS {re.sub(r'OBJECT<', 'STRUCT<', tree)}) AS document").schema["document"].dataType if tree and tree != "VOID" else None
+    return kind if isinstance(kind, StructType) else StructType()
+
+
+def surplus_paths(declared: DataType, found: DataType, at: str = "") -> list[str]:
+    """Paths of fields in ``found`` that reading by ``declared`` would lose; ``[]`` stands for the items of an array, ``*`` for the values of a map."""
+    if isinstance(declared, StructType) and isinstance(found, StructType):
+        out = []
+        for f in found:
+            path = f"{at}.{f.name}" if at else f.name
+            out += surplus_paths(declared[f.name].dataType, f.dataType, path) if f.name in declared.names else [path]
+        return out
+    if isinstance(declared, ArrayType) and isinstance(found, ArrayType):
+        return surplus_paths(declared.elementType, found.elementType, f"{at}[]")
+    if isinstance(declared, MapType) and isinstance(found, StructType):
+        return sorted({p for f in found for p in surplus_paths(declared.valueType, f.dataType, f"{at}.*")})
+    # Texts and variants take anything; elsewhere values of several kinds do not fit.
+    nested = isinstance(declared, (StructType, ArrayType, MapType))
+    return [at] if nested and isinstance(found, VariantType) else []
+
+
+def with_surplus(declared: DataType, found: DataType) -> DataType:
+    """``declared`` with the surplus of ``found`` as text: nested values as they stand in the export, the value itself otherwise."""
+    if isinstance(declared, StructType) and isinstance(found, StructType):
+        known = [StructField(f.name, with_surplus(f.dataType, found[f.name].dataType) if f.name in found.names else f.dataType) for f in declared]
+        return StructType(known + [StructField(f.name, StringType()) for f in found if f.name not in declared.names])
+    if isinstance(declared, ArrayType) and isinstance(found, ArrayType):
+        return ArrayType(with_surplus(declared.elementType, found.elementType))
+    if isinstance(declared, MapType) and isinstance(found, StructType):
+        value = declared.valueType
+        for f in found:
+            value = with_surplus(value, f.dataType)
+        return MapType(declared.keyType, value)
+    return StringType() if surplus_paths(declared, found, "x") else declared
+
+
 def extract_document_data(
     spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False, surplus: str = "fail"
 ) -> DataFrame:
     """A whole document collection from its JSON export. The schema is declared, never inferred.
 
-    Spark drops fields that the schema does not name, so the export is searched for them first and the read
-    fails if there are any; ``surplus="drop"`` leaves them out knowingly, and saves that pass.
+    Spark drops fields that the schema does not name, at any depth, so the fields of the export are gathered first. With
+    surplus ones the read fails, or with ``surplus="stage"`` carries them as text after the declared fields of their
+    object; ``surplus="drop"`` leaves them out knowingly, and saves that pass.
     A line-delimited export is split over tasks; ``multi_line`` reads each file in one task.
     """
-    if surplus not in ("fail", "drop"):
-        raise ValueError(f"surplus fields can fail or be dropped, not {surplus}")
-    if surplus == "fail":
-        found = [row["field"] for row in undeclared_fields(spark, path, schema, multi_line).sort("field").take(SHOWN)]
-        if found:
-            raise UndeclaredFields(f"{path} holds fields that its schema does not declare: {found}")
-    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    if surplus not in ("fail", "drop", "stage"):
+        raise ValueError(f"surplus fields can fail, be dropped or staged, not {surplus}")
+    declared = spark.createDataFrame([], schema).schema
+    if surplus != "drop":
+        found = document_schema(spark, path, multi_line)
+        paths = surplus_paths(declared, found)
+        if paths and surplus == "fail":
+            raise UndeclaredFields(f"{path} holds fields that its schema does not declare: {paths[:SHOWN]}")
+        if paths:
+            declared = with_surplus(declared, found)
+    return spark.read.schema(declared).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def extract_collection_data(

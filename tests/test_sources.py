@@ -3,6 +3,7 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace import session
 from millrace.operators import snapshots
@@ -75,6 +76,31 @@ def test_undeclared_fields_of_whole_files(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [("x", 2)]
 
 
+def test_surplus_fields_at_any_depth(spark, tmp_path):
+    lines = [
+        '{"_id": {"$oid": "1"}, "a": {"x": 1, "y": [{"q": 1, "new": {"deep": [1, null]}}]}, "m": {"k": {"v": 1, "w": 2}}, "t": {"any": 1}}',
+        '{"_id": {"$oid": "2"}, "a": {"x": 2, "late": "s"}, "s": "text", "mixed": {"o": 1}}',
+        '{"_id": {"$oid": "3"}, "mixed": 7}',
+    ]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    schema = "_id struct<`$oid`: string>, a struct<x: int, y: array<struct<q: int>>>, m map<string, struct<v: int>>, t string, mixed struct<o: int>"
+    declared = spark.createDataFrame([], schema).schema
+    found = readers.document_schema(spark, str(tmp_path))
+    assert sorted(readers.surplus_paths(declared, found)) == ["a.late", "a.y[].new", "m.*.w", "mixed", "s"]
+    with pytest.raises(readers.UndeclaredFields, match=r"a\.y\[\]\.new"):
+        readers.extract_document_data(spark, str(tmp_path), schema)
+    rows = {r["_id"]["$oid"]: r for r in readers.extract_document_data(spark, str(tmp_path), schema, surplus="stage").collect()}
+    assert rows["1"]["a"]["y"][0].asDict() == {"q": 1, "new": '{"deep": [1, null]}'} and rows["1"]["t"] == '{"any": 1}'
+    assert rows["1"]["m"]["k"].asDict() == {"v": 1, "w": "2"} and rows["1"]["a"]["late"] is None
+    assert (rows["2"]["a"]["late"], rows["2"]["s"], rows["2"]["mixed"], rows["3"]["mixed"]) == ("s", "text", '{"o": 1}', "7")
+
+
+def test_an_empty_export_has_no_fields(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    assert readers.document_schema(spark, str(tmp_path)) == StructType()
+    assert readers.extract_document_data(spark, str(tmp_path), "n int").count() == 0
+
+
 def test_broken_documents_fail_the_read(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"n": 1\n')
     with pytest.raises(Exception):
