@@ -157,6 +157,15 @@ def _(spark, read):
     return readers.extract_sql_data(spark, "SELECT * FROM source_customer")
 
 
+@scan_query("s1_split_scan")
+def _(spark, read):
+    """A table in parts of equal size, by a column that repeats; one value owns many rows."""
+    split = readers.Split("o_orderpriority", 8, "o_orderkey")
+    source = staging.Source(schema="src_orders", tables=("source_orders",), splits={"source_orders": split})
+    read("orders").createOrReplaceTempView("source_orders")
+    return source.extract(spark, "source_orders")
+
+
 @scan_query("s2_document_scan")
 def _(spark, read):
     path = fresh_path(spark, "documents-export")

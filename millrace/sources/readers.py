@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType, VariantType
 
 # How many names an error message lists.
 SHOWN = 20
+# Sampled keys per part; a part's size is then within about a tenth of what is wanted.
+SAMPLED = 400
 
 
 def jdbc_options(
@@ -60,6 +66,76 @@ def hash_predicates(bucket_expression: str, parts: int) -> list[str]:
     return [f"({bucket} = 0 or ({bucket_expression}) is null)", *[f"{bucket} = {i}" for i in range(1, parts)]]
 
 
+@dataclass(frozen=True)
+class Split:
+    """How a source table is dealt to reading tasks: by ranges of ``column``, which need not be unique or evenly spread.
+
+    ``bucket`` is SQL of the source that gives a number from a hash of the unique key (see :func:`hash_predicates`); it divides the rows of a
+    value that owns a part or more by itself. Without it such a value stays in one task.
+    """
+
+    column: str
+    parts: int
+    bucket: str | None = None
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, (dt.datetime, dt.date)):
+        return f"{'TIMESTAMP' if isinstance(value, dt.datetime) else 'DATE'} '{value.isoformat(*[' '] if isinstance(value, dt.datetime) else [])}'"
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def key_sample(keys: DataFrame, column: str, split: Split, seed: int = 1) -> list:
+    """Sorted values of a bounded random sample of the key column, nulls left out: SAMPLED per part."""
+    known = keys.select(F.col(column).alias("key")).where("key IS NOT NULL")
+    return sorted(r["key"] for r in known.orderBy(F.rand(seed)).limit(SAMPLED * split.parts).collect())
+
+
+def split_predicates(split: Split, sample: Sequence) -> list[str]:
+    """Conditions that give every row once, in parts of about the same size, from a sorted sample of the key.
+
+    Values that own a part or more are taken out and divided by ``bucket``; the others are cut at equal depths of the sample.
+    Nulls go with the first part. An empty sample gives one condition that holds for all rows.
+    """
+    if not sample:
+        return ["1 = 1"]
+    size = len(sample) / split.parts
+    counts = Counter(sample)
+    heavy = sorted(v for v, n in counts.items() if n >= size)
+    rest = [v for v in sample if v not in set(heavy)]
+    out = []
+    n_ranges = round(len(rest) / size) or 1
+    # Upper ends of the ranges; the last has none.
+    ends = sorted({rest[k * len(rest) // n_ranges] for k in range(1, n_ranges)}) if rest else []
+    column = split.column
+    without = f" and {column} not in ({', '.join(map(_literal, heavy))})" if heavy else ""
+    for low, high in zip([None, *ends], [*ends, None], strict=True):
+        bounds = [f"{column} >= {_literal(low)}"] * (low is not None) + [f"{column} < {_literal(high)}"] * (high is not None)
+        within = " and ".join(bounds) or "1 = 1"
+        out.append(f"(({within}){without})" + (f" or {column} is null" if low is None else ""))
+    for value in heavy:
+        pieces = round(counts[value] / size) if split.bucket else 1
+        each = hash_predicates(split.bucket, pieces) if pieces > 1 else ["1 = 1"]
+        out += [f"{column} = {_literal(value)} and ({e})" for e in each]
+    return out
+
+
+def extract_sql_split(
+    spark: SparkSession, query: str, split: Split, url: str | None = None, properties: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The result of a query, dealt out by ``split``: over JDBC with ``url``, one task per part, else over the session's own tables.
+
+    The key column is read first, for a sample that places the cuts; where the sample lies only bears on the balance.
+    """
+    keys = f"SELECT {split.column} FROM ({query}) source_rows"
+    reads = extract_sql_data(spark, keys) if url is None else extract_sql_data(spark, keys, {"url": url, **(properties or {})})
+    predicates = split_predicates(split, key_sample(reads, reads.columns[0], split))
+    if url is not None:
+        return extract_sql_parts(spark, url, query, predicates, properties or {})
+    parts = [spark.sql(f"SELECT * FROM ({query}) source_rows WHERE {p}") for p in predicates]
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
 def extract_sql_parts(
     spark: SparkSession, url: str, query: str, predicates: Sequence[str], properties: Mapping[str, str]
 ) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources import cleaning
+from millrace.sources.readers import Split, extract_sql_data, extract_sql_split
 from millrace.sources.tables import TableStore
 
 
@@ -21,6 +22,14 @@ class Source:
     tables: tuple[str, ...]
     documents: bool = False
     strips_nul: bool = True
+    splits: Mapping[str, Split] = field(default_factory=dict)
+
+    def extract(self, spark: SparkSession, table: str, url: str | None = None, properties: Mapping[str, str] | None = None) -> DataFrame:
+        """A relational table of this source, dealt out as ``splits`` says; without a split it arrives in one task."""
+        query = f"SELECT * FROM {table}"
+        if table in self.splits:
+            return extract_sql_split(spark, query, self.splits[table], url, properties)
+        return extract_sql_data(spark, query, None if url is None else {"url": url, "query": query, **(properties or {})})
 
 
 # The staged systems and their tables.

@@ -59,6 +59,30 @@ def test_sql_errors_are_raised(spark):
         readers.extract_sql_data(spark, "select * from no_such_table")
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "date"])
+def test_split_parts_hold_every_row_once_and_are_alike(spark, kind):
+    """A third of the rows have one value, the others crowd at one end, some have none."""
+    n = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.floor(F.exp(F.xxhash64("id") % 1000 / 150)) + 2000).cast("int")
+    keys = {"int": n, "string": F.concat(F.lit("it's "), F.lpad(n.cast("string"), 9, "0")), "date": F.date_add(F.lit(dt.date(2000, 1, 1)), n)}
+    rows = spark.range(40_000).select("id", keys[kind].alias("k"))
+    rows.createOrReplaceTempView("split_rows")
+    split = readers.Split("k", 9, "hash(id)")
+    predicates = readers.split_predicates(split, readers.key_sample(rows, "k", split))
+    counts = [spark.sql(f"SELECT * FROM split_rows WHERE {p}").count() for p in predicates]
+    assert sum(counts) == 40_000 and len(counts) >= 8
+    assert max(counts) <= 2 * min(counts), counts
+    whole = readers.extract_sql_split(spark, "SELECT * FROM split_rows", split)
+    assert whole.count() == 40_000 and whole.distinct().count() == 40_000
+    one = readers.Split("k", 9)
+    assert sum(spark.sql(f"SELECT * FROM split_rows WHERE {p}").count() for p in readers.split_predicates(one, readers.key_sample(rows, "k", one))) == 40_000
+
+
+def test_split_of_an_empty_table(spark):
+    spark.range(0).createOrReplaceTempView("no_rows")
+    assert readers.extract_sql_split(spark, "SELECT * FROM no_rows", readers.Split("id", 4, "id")).count() == 0
+    assert readers.split_predicates(readers.Split("id", 4), []) == ["1 = 1"]
+
+
 def test_documents_keep_their_declared_schema(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"_id": {"$oid": "65a"}, "n": 1, "extra": 2}\n{"_id": {"$oid": "65b"}}\n')
     schema = "_id struct<`$oid`: string>, n int"
