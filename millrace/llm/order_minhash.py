@@ -3,19 +3,20 @@
 A text's words are its runs of letters and digits in lower case; its k-mers are runs of five words, labelled with how often
 each has come before. A sketch takes the ``TUPLE`` k-mers that are least under one of ``SKETCHES`` hash orders and keeps
 them in the order of the text, so it is sensitive to that order as edit distance is. Texts that share a sketch are candidates. A
-candidate pair is a link if the Jaccard similarity of the labelled k-mers is at least ``similarity`` and the words align with
-so many edits at most as that share of the longer text leaves, searched on the diagonals within that band only.
+candidate pair is a link if the words align with at most (1 - ``similarity``) times the longer text's number of words
+inserted, deleted or replaced, searched on the diagonals within that band only. Blocks that changed places count as edits.
 
 Texts with the same words are merged first, so copies never form pairs. In a bucket of texts with one sketch every member is
 first compared to one pivot. Members that end up in different components are candidates still, but most of them share only a
-passage or are edited too much; so they are compared further only if they share one of their rarest k-mers. Two texts
-as similar as asked always do, if each lists as many as it may have beyond the common ones, plus one. Among texts with
-such a k-mer, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
-turn, as long as that finds links, then with each other. No candidate pair between different components is left out: only pairs that cannot have the
-similarity, by their numbers of k-mers or their rare ones, are not compared.
+passage or are edited too much; so they are compared further only if they share one of their rarest ``GRAM``-word runs. An edit
+changes at most ``GRAM`` of the longer text's runs, so two texts that align always share one, if each lists all of its runs
+that others have too, but for one less than an alignment must leave. Among texts with
+such a run, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
+turn, as long as that finds links, then with each other. No candidate pair between different components is left out: only pairs that cannot align,
+by their lengths or their rare runs, are not compared.
 
 Edge cases: a null or wordless text is in a class of its own. Texts of fewer than five words have all their words as
-one k-mer. Repeated rows share a class. Of a class the row with the least id stays; a null id comes last. An empty
+one k-mer, so they are linked only to texts with the same words. Repeated rows share a class. Of a class the row with the least id stays; a null id comes last. An empty
 table gives an empty result. Only id and text are read.
 """
 
@@ -34,9 +35,11 @@ from millrace.llm.scratch import Scratch, bounded_batches, skew_aware, tidy
 from millrace.llm.word_hashes import BASES, by_size, mix, range_digests, word_digests
 
 KMER = 5
-TUPLE = 3
-SKETCHES = 16
+TUPLE = 2
+SKETCHES = 24
 SIMILARITY = 0.8
+# Runs of so many words bound what an alignment within the limit leaves in common. Candidates have a k-mer of five in common.
+GRAM = 3
 SMALL = 32
 STARS = 2
 # Sketches are compared in turns, so that what the first ones have joined is not compared again.
@@ -161,15 +164,30 @@ def _slide_all(a, b, x, k):
     return x
 
 
-def is_link(a: np.ndarray, b: np.ndarray, kmers_a: np.ndarray, kmers_b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether two texts, as word digests and labelled k-mers, are near duplicates."""
-    common = len(np.intersect1d(kmers_a, kmers_b, assume_unique=True))
-    if common < similarity * (len(kmers_a) + len(kmers_b) - common):
+def runs(words: np.ndarray, k: int) -> np.ndarray:
+    """The labelled runs of k words of one text, sorted; none if it is shorter."""
+    if len(words) < k:
+        return np.zeros(0, np.uint64)
+    return np.sort(labelled_kmers(np.array([0, len(words)]), words, k)[1])
+
+
+def is_link(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY, runs_a=None, runs_b=None) -> bool:
+    """Whether two texts, as word digests, are near duplicates. ``runs_a`` and ``runs_b`` are their runs of 1 and GRAM words."""
+    longer = max(len(a), len(b))
+    most = int((1 - similarity) * longer + 1e-9)
+    if abs(len(a) - len(b)) > most:
         return False
-    most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    for k, x, y in zip((1, GRAM), runs_a or _runs(a), runs_b or _runs(b), strict=True):
+        # Every edit changes at most k of the longer text's runs, so fewer in common mean too many edits.
+        if len(np.intersect1d(x, y, assume_unique=True)) < longer - k + 1 - k * most:
+            return False
     return edits_within(a, b, most) is not None
 
 
+def _runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return runs(words, 1), runs(words, GRAM)
+
+
 class _Verifier:
     def __init__(self, scratch: Scratch, texts: DataFrame, similarity: float):
         self.scratch, self.texts, self.similarity = scratch, texts, similarity
@@ -188,17 +206,17 @@ class _Verifier:
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last: tuple[int, tuple] | None = None
 
-            def read(z: bytes) -> tuple[np.ndarray, np.ndarray]:
-                first, words = word_digests([zlib.decompress(z)], families=1)
-                return words[0], labelled_kmers(first, words[0])[1]
+            def read(z: bytes) -> tuple:
+                words = word_digests([zlib.decompress(z)], families=1)[1][0]
+                return words, _runs(words)
 
             for batch in batches:
                 found = []
                 for a, b, za, zb in zip(*batch.columns, strict=True):
                     if last is None or last[0] != a.as_py():
                         last = a.as_py(), read(za.as_py())
-                    (wa, ka), (wb, kb) = last[1], read(zb.as_py())
-                    if is_link(wa, wb, ka, kb, similarity):
+                    (wa, ra), (wb, rb) = last[1], read(zb.as_py())
+                    if is_link(wa, wb, similarity, ra, rb):
                         found.append((a.as_py(), b.as_py()))
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
@@ -267,7 +285,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         values[i] = v
                 own = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns[:4], pa.array(np.diff(starts), pa.int64()), *(pa.array(w) for w in whole), pa.array(values, pa.list_(pa.int64()))],
+                    [*own.columns[:4], pa.array(np.diff(first), pa.int64()), *(pa.array(w) for w in whole), pa.array(values, pa.list_(pa.int64()))],
                     names=["row", "id", "th", "sha", "n", "w1", "w2", "sketches"],
                 )
 
@@ -304,14 +322,16 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
         packed.join(wanted, packed["id"].eqNullSafe(wanted["node_id"]) & (packed["th"] == wanted["node_th"])).select("node", "z"), "texts"
     )
     verifier = _Verifier(scratch, texts, similarity)
-    alike = F.least("room", "other_room") >= F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - 1e-6)
+    longer = F.greatest("n", "other_n")
+    close = F.abs(F.col("n") - F.col("other_n")) <= F.floor((1 - similarity) * longer + 1e-9)
+    alike = close & (F.least("room", "other_room") >= _left_at_least(longer, similarity))
     for first, last in zip(TURNS, TURNS[1:], strict=False):
         stars = _with_pivot(buckets.where((F.col("sketch") >= first) & (F.col("sketch") < last)), alike)
         apart = verifier.labelled(verifier.labelled(stars, "a", "label_a"), "b", "label_b").where("label_a <> label_b")
         verifier.check(apart)
     buckets = _open(verifier.labelled(buckets.select("key", "node", "n", "room", "pick")), scratch, "rest")
     if not buckets.isEmpty():
-        rare = _rare_kmers(texts, buckets.select("node", "n").distinct(), similarity, scratch)
+        rare = _rare_runs(texts, buckets.select("node", "n").distinct(), similarity, scratch)
         buckets = _open(verifier.labelled(rare), scratch, "rare")
     turn, found = 0, 1
     while not buckets.isEmpty():
@@ -347,30 +367,38 @@ def _with_each_other(buckets: DataFrame, alike) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
-def _rare_kmers(texts: DataFrame, nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """The rarest k-mers of every node (key, node, n, room), so many that two nodes as similar as asked must share one.
+def _left_at_least(words, similarity: float):
+    """How many runs of GRAM words an alignment within the limit leaves at least, for a text of so many words or more.
 
-    ``room`` is the number of k-mers from this one on that others have too. For the first k-mer that two nodes share it bounds how
+    Texts in one sketch have a k-mer in common and so one run, whatever the bound.
+    """
+    return F.greatest(F.lit(1), F.ceil((1 - GRAM * (1 - similarity)) * words - (GRAM - 1) - 1e-6))
+
+
+def _rare_runs(texts: DataFrame, nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """The rarest runs of every node (key, node, n, room), so many that two nodes that align must share one.
+
+    ``room`` is the number of runs from this one on that others have too. For the first run that two nodes share it bounds how
     many they share, so a pair is only made where both have room enough.
 
-    A text most of whose k-mers no other text here has cannot be that similar to any, and has none.
+    A text most of whose runs no other text here has cannot align with any, and has none.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column(2))):
                 first, words = word_digests(bodies, families=1)
-                starts, kmers = labelled_kmers(first, words[0])
+                starts, kmers = labelled_kmers(first, words[0], GRAM)
                 at = np.repeat(np.array(rows), np.diff(starts))
                 node, n = (batch.column(c).to_numpy(zero_copy_only=False)[at] for c in range(2))
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(kmers.view(np.int64))], names=["node", "n", "key"])
 
     asked = texts.join(nodes, "node").select("node", "n", "z")
-    kmers = scratch.keep(asked.mapInArrow(tidy(cut), "node long, n long, key long"), "kmers")
+    kmers = scratch.keep(asked.mapInArrow(tidy(cut), "node long, n long, key long"), "runs")
     common = scratch.keep(kmers.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "common")
     shared = scratch.keep(kmers.join(common, "key"), "shared")
-    scratch.drop("kmers")
-    needed = F.ceil(F.col("n") * similarity - 1e-9)
+    scratch.drop("runs")
+    needed = _left_at_least(F.col("n"), similarity)
     enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n_shared"), F.max("n").alias("n")).where(F.col("n_shared") >= needed)
     rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "key"))
     return scratch.keep(

@@ -109,10 +109,9 @@ def test_banded_alignment(monkeypatch, few):
 
 
 def near_classes(rows, similarity=0.8):
-    def kmers(w):
-        return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
-
-    words = {i: order_minhash.normalised((t or "").encode()).split() for i, t in rows}
+    """Classes by plain edit distance between all pairs of word sequences."""
+    number = {}
+    words = {i: [number.setdefault(w, len(number)) for w in order_minhash.normalised((t or "").encode()).split()] for i, t in rows}
     parent = {i: i for i in words}
 
     def find(x):
@@ -121,14 +120,57 @@ def near_classes(rows, similarity=0.8):
         return x
 
     ids = [i for i in words if words[i]]
-    sets = {i: kmers(words[i]) for i in ids}
     for a in ids:
         for b in ids:
-            if a < b and sum((sets[a] & sets[b]).values()) >= similarity * sum((sets[a] | sets[b]).values()):
+            longer = max(len(words[a]), len(words[b]))
+            # Words that are not in common must be edited.
+            lost = longer - sum((Counter(words[a]) & Counter(words[b])).values())
+            if a < b and find(a) != find(b) and lost <= longer - similarity * longer + 1e-9 and edits(words[a], words[b]) <= longer - similarity * longer + 1e-9:
                 parent[max(find(a), find(b))] = min(find(a), find(b))
     return {i: find(i) for i in words}
 
 
+def edited(rng, text, share, words):
+    """``text`` with this share of its words replaced, deleted or followed by a new one, in turn."""
+    out = []
+    chosen = set(rng.sample(range(len(text)), round(share * len(text))))
+    for at, word in enumerate(text):
+        if at not in chosen:
+            out.append(word)
+            continue
+        kind = rng.randrange(3)
+        out += [[rng.choice(words)], [], [word, rng.choice(words)]][kind]
+    return out
+
+
+@pytest.mark.parametrize("share,least", [(0.02, 0.98), (0.05, 0.95), (0.1, 0.9)])
+def test_edited_copies_are_found(spark, share, least):
+    """Pairs of a text and its edited copy, all within the limit of a fifth by plain edit distance."""
+    rng = random.Random(int(share * 100))
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(40):
+        text = [rng.choice(words) for _ in range(rng.randint(60, 300))]
+        copy = edited(rng, text, share, words)
+        assert edits(text, copy) <= 0.2 * max(len(text), len(copy))
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(copy))]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * i] == 2 * i for i in range(40))
+    assert sum(got[2 * i + 1] == 2 * i for i in range(40)) >= least * 40
+
+
+def test_too_many_edits_and_moved_blocks_stay_apart(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    text = [rng.choice(words) for _ in range(200)]
+    half = text[100:] + text[:100]
+    far = ["x"] * 50 + text[50:]
+    near = ["x"] * 40 + text[40:]
+    rows = [(1, " ".join(text)), (2, " ".join(half)), (3, " ".join(far)), (4, " ".join(near))]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_classes(rows) and got == {1: 1, 2: 2, 3: 1, 4: 1}
+
+
 @pytest.mark.parametrize("small", [1, 32])
 def test_near_groups(spark, monkeypatch, small):
     """Copies, near copies in chains, variants too far apart, and a passage in many texts."""
