@@ -7,13 +7,13 @@ candidate pair is a link if the words align with at most (1 - ``similarity``) ti
 inserted, deleted or replaced, searched on the diagonals within that band only. Blocks that changed places count as edits.
 
 Texts with the same words are merged first, so copies never form pairs. In a bucket of texts with one sketch every member is
-first compared to one pivot. Members that end up in different components are candidates still, but most of them share only a
-passage or are edited too much; so they are compared further only if they share one of their rarest ``GRAM``-word runs. An edit
-changes at most ``GRAM`` of the longer text's runs, so two texts that align always share one, if each lists all of its runs
-that others have too, but for one less than an alignment must leave. Among texts with
-such a run, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
-turn, as long as that finds links, then with each other. No candidate pair between different components is left out: only pairs that cannot align,
-by their lengths or their rare runs, are not compared.
+first compared to one pivot; in large buckets then to another, drawn anew per bucket. Members that end up in different components
+are candidates still, but most of them share only a passage; so they are compared further only if they also share one of their
+rarest words. An edit changes one word, so two texts that align have all words but those of the limit in common, and share
+one of the words that each lists: its rarest, one more than it may lose. Among texts with a sketch and
+such a word, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
+turn, as long as that finds links, then with each other. No candidate pair between different components is left out: only pairs that
+cannot align, by their lengths or their rare words, are not compared.
 
 Edge cases: a null or wordless text is in a class of its own. Texts of fewer than five words have all their words as
 one k-mer, so they are linked only to texts with the same words. Repeated rows share a class. Of a class the row with the least id stays; a null id comes last. An empty
@@ -38,7 +38,7 @@ KMER = 5
 TUPLE = 2
 SKETCHES = 24
 SIMILARITY = 0.8
-# Runs of so many words bound what an alignment within the limit leaves in common. Candidates have a k-mer of five in common.
+# An alignment within the limit leaves so many words and runs of GRAM words in common; fewer need no alignment.
 GRAM = 3
 SMALL = 32
 STARS = 2
@@ -171,23 +171,20 @@ def runs(words: np.ndarray, k: int) -> np.ndarray:
     return np.sort(labelled_kmers(np.array([0, len(words)]), words, k)[1])
 
 
-def is_link(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY, runs_a=None, runs_b=None) -> bool:
-    """Whether two texts, as word digests, are near duplicates. ``runs_a`` and ``runs_b`` are their runs of 1 and GRAM words."""
+def is_link(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY, sorted_a: np.ndarray | None = None) -> bool:
+    """Whether two texts, as word digests, are near duplicates. ``sorted_a`` are the labelled words of the first."""
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
-    for k, x, y in zip((1, GRAM), runs_a or _runs(a), runs_b or _runs(b), strict=True):
-        # Every edit changes at most k of the longer text's runs, so fewer in common mean too many edits.
-        if len(np.intersect1d(x, y, assume_unique=True)) < longer - k + 1 - k * most:
+    # Every edit changes at most k of the longer text's runs of k words, so fewer in common mean too many edits.
+    for k in (1, GRAM):
+        in_a = sorted_a if k == 1 and sorted_a is not None else runs(a, k)
+        if len(np.intersect1d(in_a, runs(b, k), assume_unique=True)) < longer - k + 1 - k * most:
             return False
     return edits_within(a, b, most) is not None
 
 
-def _runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return runs(words, 1), runs(words, GRAM)
-
-
 class _Verifier:
     def __init__(self, scratch: Scratch, texts: DataFrame, similarity: float):
         self.scratch, self.texts, self.similarity = scratch, texts, similarity
@@ -206,17 +203,16 @@ class _Verifier:
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last: tuple[int, tuple] | None = None
 
-            def read(z: bytes) -> tuple:
-                words = word_digests([zlib.decompress(z)], families=1)[1][0]
-                return words, _runs(words)
+            def read(z: bytes) -> np.ndarray:
+                return word_digests([zlib.decompress(z)], families=1)[1][0]
 
             for batch in batches:
                 found = []
                 for a, b, za, zb in zip(*batch.columns, strict=True):
                     if last is None or last[0] != a.as_py():
-                        last = a.as_py(), read(za.as_py())
-                    (wa, ra), (wb, rb) = last[1], read(zb.as_py())
-                    if is_link(wa, wb, similarity, ra, rb):
+                        words = read(za.as_py())
+                        last = a.as_py(), (words, runs(words, 1))
+                    if is_link(last[1][0], read(zb.as_py()), similarity, last[1][1]):
                         found.append((a.as_py(), b.as_py()))
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
@@ -324,14 +320,19 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
     verifier = _Verifier(scratch, texts, similarity)
     longer = F.greatest("n", "other_n")
     close = F.abs(F.col("n") - F.col("other_n")) <= F.floor((1 - similarity) * longer + 1e-9)
-    alike = close & (F.least("room", "other_room") >= _left_at_least(longer, similarity))
+    alike = close & (F.least("room", "other_room") >= F.ceil(similarity * longer - 1e-9))
     for first, last in zip(TURNS, TURNS[1:], strict=False):
         stars = _with_pivot(buckets.where((F.col("sketch") >= first) & (F.col("sketch") < last)), alike)
         apart = verifier.labelled(verifier.labelled(stars, "a", "label_a"), "b", "label_b").where("label_a <> label_b")
         verifier.check(apart)
-    buckets = _open(verifier.labelled(buckets.select("key", "node", "n", "room", "pick")), scratch, "rest")
+    columns = ["key", "node", "n", "room"]
+    anew = buckets.select(*columns, F.xxhash64("key", "node").alias("pick"))
+    buckets = _open(verifier.labelled(anew), scratch, "rest")
+    large = buckets.where((F.col("size") > SMALL) & (F.col("label") != F.col("pivot.label")))
+    if verifier.check(_with_pivot(large, alike)):
+        buckets = _open(verifier.labelled(buckets.select(*columns, "pick")), scratch, "rest-anew")
     if not buckets.isEmpty():
-        rare = _rare_runs(texts, buckets.select("node", "n").distinct(), similarity, scratch)
+        rare = _rare_words(texts, buckets.select("key", "node", "n"), similarity, scratch)
         buckets = _open(verifier.labelled(rare), scratch, "rare")
     turn, found = 0, 1
     while not buckets.isEmpty():
@@ -342,7 +343,7 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
         if last:
             break
         # Small buckets are done with, and so are the pivots of the large ones.
-        left = large.where("node <> pivot.node").select("key", "node", "n", "room", "pick")
+        left = large.where("node <> pivot.node").select(*columns, "pick")
         buckets = _open(verifier.labelled(left), scratch, f"left{turn}")
         turn += 1
     if verifier.links is None:
@@ -367,47 +368,40 @@ def _with_each_other(buckets: DataFrame, alike) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
-def _left_at_least(words, similarity: float):
-    """How many runs of GRAM words an alignment within the limit leaves at least, for a text of so many words or more.
-
-    Texts in one sketch have a k-mer in common and so one run, whatever the bound.
-    """
-    return F.greatest(F.lit(1), F.ceil((1 - GRAM * (1 - similarity)) * words - (GRAM - 1) - 1e-6))
-
-
-def _rare_runs(texts: DataFrame, nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """The rarest runs of every node (key, node, n, room), so many that two nodes that align must share one.
+def _rare_words(texts: DataFrame, buckets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """The buckets (key, node, n) split by the rarest words of every node, so many that two nodes that align must share one.
 
-    ``room`` is the number of runs from this one on that others have too. For the first run that two nodes share it bounds how
+    ``room`` is the number of words from this one on that others have too. For the first word that two nodes share it bounds how
     many they share, so a pair is only made where both have room enough.
 
-    A text most of whose runs no other text here has cannot align with any, and has none.
+    A text with more words that no other text here has than it may lose cannot align with any, and has none.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column(2))):
                 first, words = word_digests(bodies, families=1)
-                starts, kmers = labelled_kmers(first, words[0], GRAM)
+                starts, kmers = labelled_kmers(first, words[0], 1)
                 at = np.repeat(np.array(rows), np.diff(starts))
                 node, n = (batch.column(c).to_numpy(zero_copy_only=False)[at] for c in range(2))
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(kmers.view(np.int64))], names=["node", "n", "key"])
-
-    asked = texts.join(nodes, "node").select("node", "n", "z")
-    kmers = scratch.keep(asked.mapInArrow(tidy(cut), "node long, n long, key long"), "runs")
-    common = scratch.keep(kmers.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "common")
-    shared = scratch.keep(kmers.join(common, "key"), "shared")
-    scratch.drop("runs")
-    needed = _left_at_least(F.col("n"), similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(kmers.view(np.int64))], names=["node", "n", "word"])
+
+    asked = texts.join(buckets.select("node", "n").distinct(), "node").select("node", "n", "z")
+    words = scratch.keep(asked.mapInArrow(tidy(cut), "node long, n long, word long"), "words")
+    common = scratch.keep(words.groupBy("word").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "common")
+    shared = scratch.keep(words.join(common, "word"), "shared")
+    scratch.drop("words")
+    needed = F.ceil(F.col("n") * similarity - 1e-9)
     enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n_shared"), F.max("n").alias("n")).where(F.col("n_shared") >= needed)
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "key"))
-    return scratch.keep(
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "word"))
+    rarest = scratch.keep(
         shared.join(enough.select("node", "n_shared"), "node")
         .withColumn("rank", rank)
         .where(F.col("rank") <= F.col("n_shared") - needed + 1)
-        .select("key", "node", "n", (F.col("n_shared") - F.col("rank") + 1).alias("room"), F.col("n_shared").alias("pick")),
-        "prefixes",
+        .select("word", "node", (F.col("n_shared") - F.col("rank") + 1).alias("room"), F.col("n_shared").alias("pick")),
+        "rarest",
     )
+    return scratch.keep(rarest.join(buckets, "node").select(F.xxhash64("key", "word").alias("key"), "node", "n", "room", "pick"), "split")
 
 
 def _classes(rows, nodes, found, scratch, id_col) -> DataFrame:
