@@ -8,12 +8,14 @@ inserted, deleted or replaced, searched on the diagonals within that band only.
 
 Texts with the same words are merged first, so copies never form pairs. In a bucket of texts with one sketch every member is
 first compared to one pivot; in large buckets then to another, drawn anew per bucket. Members that end up in different components
-are candidates still, but most of them share only a passage; so they are compared further only if they also share one of their
-rarest words. An edit changes one word, so two texts that align have all words but those of the limit in common, and share
-one of the words that each lists: its rarest, one more than it may lose. Among texts with a sketch and
+are candidates still, but most of them share only a passage. An edit changes one word, so two texts that align have all words but
+those of the limit in common; three bounds follow. In buckets of up to ``DENSE`` texts all members are held against each other
+by bitmaps: a bit says whether an odd number of the text's labelled words fall on it, so two bitmaps differ in at most as many bits as
+there are words in one text only. A pair that passes is verified once, whatever number of sketches it shares. Larger buckets are split by rare words: two
+texts that align share one of the words that each lists, its rarest, one more than it may lose. Among texts with a sketch and
 such a word, up to ``SMALL`` are compared with each other; more are first compared with up to ``STARS`` pivots in
 turn, as long as that finds links, then with each other. No candidate pair between different components is left out: only pairs that
-cannot align, by their lengths or their rare words, are not compared.
+cannot align, by their lengths, their bitmaps or their rare words, are not compared.
 
 Edge cases: a null or wordless text is in a class of its own. Texts of fewer than five words have all their words as
 one k-mer, so they are linked only to texts with the same words. Repeated rows share a class. Of a class the row with the least id stays; a null id comes last. An empty
@@ -42,6 +44,10 @@ SIMILARITY = 0.8
 GRAM = 3
 SMALL = 32
 STARS = 2
+# Up to so many texts of a bucket are one task's matter, held against each other by bitmaps of BITS.
+DENSE = 2048
+BITS = 4096
+BLOCK = 256
 # Sketches are compared in turns, so that what the first ones have joined is not compared again.
 TURNS = (0, 2, SKETCHES)
 # Up to so many edits the diagonals are walked one by one, beyond that all at once.
@@ -331,6 +337,10 @@ def _link(source, nodes, buckets, similarity, scratch) -> tuple[DataFrame, DataF
     large = buckets.where((F.col("size") > SMALL) & (F.col("label") != F.col("pivot.label")))
     if verifier.check(_with_pivot(large, alike)):
         buckets = _open(verifier.labelled(buckets.select(*columns, "pick")), scratch, "rest-anew")
+    dense = buckets.where(F.col("size") <= DENSE)
+    if not dense.isEmpty():
+        verifier.check(_by_bitmaps(texts, dense, similarity, scratch))
+    buckets = _open(verifier.labelled(buckets.where(F.col("size") > DENSE).select(*columns, "pick")), scratch, "large")
     if not buckets.isEmpty():
         rare = _rare_words(texts, buckets.select("key", "node", "n"), similarity, scratch)
         buckets = _open(verifier.labelled(rare), scratch, "rare")
@@ -368,6 +378,62 @@ def _with_each_other(buckets: DataFrame, alike) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
+def bitmaps(first: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """texts x BITS / 8 bytes: by bit, whether an odd number of the text's labelled words fall on it."""
+    starts, labelled = labelled_kmers(first, words, 1)
+    out = np.zeros((len(first) - 1, BITS // 8), np.uint8)
+    bit = (labelled % np.uint64(BITS)).astype(np.int64)
+    text = np.repeat(np.arange(len(out)), np.diff(starts))
+    np.bitwise_xor.at(out.reshape(-1), text * (BITS // 8) + (bit >> 3), np.left_shift(1, bit & 7).astype(np.uint8))
+    return out
+
+
+def bitmap_pairs(key: int, n: np.ndarray, label: np.ndarray, maps: np.ndarray, keys: list[list[int]], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The places (i < j) of a bucket's members with different labels that may align, by blocks.
+
+    ``maps`` are their bitmaps, ``keys`` the buckets that each is in. A pair comes up in the least of its common buckets only.
+    """
+    bits = np.unpackbits(maps, axis=1).astype(np.float32)
+    ones = bits.sum(1)
+    lesser = [{k for k in own if k < key} for own in keys]
+    for low in range(0, len(n), BLOCK):
+        here = slice(low, low + BLOCK)
+        # One text's words that the other lacks, at least; exact, as whole numbers below 2^24.
+        apart = (ones[here, None] + ones - 2 * (bits[here] @ bits.T)).astype(np.int64)
+        longer = np.maximum(n[here, None], n)
+        most = np.floor((1 - similarity) * longer + 1e-9).astype(np.int64)
+        may = (np.abs(n[here, None] - n) <= most) & (n[here, None] + n - apart >= 2 * (longer - most))
+        may &= (label[here, None] != label) & (np.arange(len(n))[here, None] < np.arange(len(n)))
+        i, j = np.nonzero(may)
+        i += low
+        first = np.array([lesser[a].isdisjoint(lesser[b]) for a, b in zip(i.tolist(), j.tolist(), strict=True)], bool)
+        yield i[first], j[first]
+
+
+def _by_bitmaps(texts: DataFrame, buckets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """The pairs of members of buckets (key, node, n, label) of at most ``DENSE`` texts that may align."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column(1))):
+                first, words = word_digests(bodies, families=1)
+                maps = pa.array([m.tobytes() for m in bitmaps(first, words[0])], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), maps], names=["node", "bitmap"])
+
+    def pairs(bucket: pa.Table) -> pa.Table:
+        key = bucket.column("key")[0].as_py()
+        node, n, label = (bucket.column(c).to_numpy() for c in ("node", "n", "label"))
+        maps = np.frombuffer(b"".join(bucket.column("bitmap").to_pylist()), np.uint8).reshape(len(node), -1)
+        found = [(node[i], node[j]) for i, j in bitmap_pairs(key, n, label, maps, bucket.column("keys").to_pylist(), similarity)]
+        a, b = (np.concatenate([f[side] for f in found]) for side in range(2))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    asked = buckets.groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most SKETCHES
+    drawn = texts.join(asked.select("node"), "node").select("node", "z").mapInArrow(tidy(draw), "node long, bitmap binary")
+    members = scratch.keep(drawn.join(asked, "node"), "bitmaps")
+    return buckets.select("key", "node", "n", "label").join(members, "node").groupBy("key").applyInArrow(pairs, "a long, b long")
+
+
 def _rare_words(texts: DataFrame, buckets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """The buckets (key, node, n) split by the rarest words of every node, so many that two nodes that align must share one.
 

@@ -28,6 +28,7 @@ from millrace.llm import (
     window_packing,
 )
 from millrace.llm.scratch import Scratch
+from millrace.llm.word_hashes import word_digests
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -171,10 +172,33 @@ def test_too_many_edits_and_moved_blocks_stay_apart(spark):
     assert got == near_classes(rows) and got == {1: 1, 2: 2, 3: 1, 4: 1}
 
 
-@pytest.mark.parametrize("small", [1, 32])
-def test_near_groups(spark, monkeypatch, small):
+def test_bitmaps_pass_every_pair_that_aligns_once():
+    """Pairs within the limit come up in exactly one of their common buckets; few of those beyond it do."""
+    rng = random.Random(10)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [rng.choice(vocabulary) for _ in range(300)]
+    texts = [edited(rng, base, rng.uniform(0, 0.3), vocabulary) for _ in range(70)] + [["a"] * 5, ["a"] * 6, ["a", "b"]]
+    first, words = word_digests([" ".join(t).encode() for t in texts], families=1)
+    maps, n = order_minhash.bitmaps(first, words[0]), np.diff(first)
+    keys = [sorted(rng.sample(range(8), rng.randint(1, 6))) for _ in texts]
+    label = np.array([i // 2 for i in range(len(texts))])
+    found = Counter()
+    for key in range(8):
+        inside = np.array([i for i, own in enumerate(keys) if key in own])
+        for i, j in order_minhash.bitmap_pairs(key, n[inside], label[inside], maps[inside], [keys[i] for i in inside], 0.8):
+            found.update(zip(inside[i].tolist(), inside[j].tolist(), strict=True))
+    assert max(found.values()) == 1
+    candidates = [(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if set(keys[i]) & set(keys[j]) and label[i] != label[j]]
+    digests = [words[0][a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+    near = {(i, j) for i, j in candidates if order_minhash.edits_within(digests[i], digests[j], int(0.2 * max(n[i], n[j]) + 1e-9)) is not None}
+    assert near and near <= found.keys() and len(found) < 0.8 * len(candidates)
+
+
+@pytest.mark.parametrize("small,dense", [(1, 1), (32, 1), (32, 20), (32, 2048)])
+def test_near_groups(spark, monkeypatch, small, dense):
     """Copies, near copies in chains, variants too far apart, and a passage in many texts."""
     monkeypatch.setattr(order_minhash, "SMALL", small)
+    monkeypatch.setattr(order_minhash, "DENSE", dense)
     rng = random.Random(9)
     words = [f"w{i}" for i in range(900)]
     rows, base = [], [rng.choice(words) for _ in range(200)]
