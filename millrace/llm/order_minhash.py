@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.block_naming import keep_rows
 from millrace.llm.components import components
@@ -48,6 +48,8 @@ STARS = 2
 DENSE = 2048
 BITS = 4096
 BLOCK = 256
+# Words are counted by slots, 2 MB in all.
+SLOTS = 1 << 18
 # Sketches are compared in turns, so that what the first ones have joined is not compared again.
 TURNS = (0, 2, SKETCHES)
 # Up to so many edits the diagonals are walked one by one, beyond that all at once.
@@ -434,40 +436,70 @@ def _by_bitmaps(texts: DataFrame, buckets: DataFrame, similarity: float, scratch
     return buckets.select("key", "node", "n", "label").join(members, "node").groupBy("key").applyInArrow(pairs, "a long, b long")
 
 
+def rare_words(first: np.ndarray, words: np.ndarray, seen: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """By text, the rarest of its words that others may have too, one more than it may lose: place of the text, word, room and words in all.
+
+    ``seen`` counts labelled words by slot, so a slot seen once holds a word of one text only. A text with more such words than it
+    may lose cannot align with any and lists none.
+    """
+    starts, labelled = labelled_kmers(first, words, 1)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(starts))
+    times = seen[slots(labelled)]
+    others = times > 1
+    text, labelled, times = text[others], labelled[others], times[others]
+    shared = np.bincount(text, minlength=len(first) - 1)
+    needed = np.ceil(np.diff(first) * similarity - 1e-9).astype(np.int64)
+    order = np.lexsort((labelled, times, text))
+    text, labelled = text[order], labelled[order]
+    rank = np.arange(len(text)) - (shared.cumsum() - shared)[text]
+    listed = rank <= (shared - needed)[text]
+    text = text[listed]
+    return text, labelled[listed], shared[text] - rank[listed], shared[text]
+
+
+def slots(labelled: np.ndarray) -> np.ndarray:
+    return (labelled % np.uint64(SLOTS)).astype(np.int64)
+
+
 def _rare_words(texts: DataFrame, buckets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """The buckets (key, node, n) split by the rarest words of every node, so many that two nodes that align must share one.
 
-    ``room`` is the number of words from this one on that others have too. For the first word that two nodes share it bounds how
-    many they share, so a pair is only made where both have room enough.
-
-    A text with more words that no other text here has than it may lose cannot align with any, and has none.
+    Words are rare by their slots' counts: any one order of the words gives whole results, so ``SLOTS`` numbers, which the driver
+    gathers, do for a vocabulary of any size. ``room`` is the number of words from this one on that others may have too. For the
+    first word that two nodes share it bounds how many they share, so a pair is only made where both have room enough.
     """
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column("z"))):
+                first, words = word_digests(bodies, families=1)
+                seen += np.bincount(slots(labelled_kmers(first, words[0], 1)[1]), minlength=SLOTS)
+        slot = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], names=["slot", "times"])
+
+    # A text is in at most SKETCHES buckets.
+    asked = buckets.groupBy("node").agg(F.collect_list("key").alias("keys"), F.first("n").alias("n"))
+    large = scratch.keep(texts.join(asked, "node"), "large-texts")
+    counted = large.select("z").mapInArrow(tidy(count), "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times"))
+    gathered = counted.toArrow()  # at most SLOTS rows
+    seen = np.zeros(SLOTS, np.int64)
+    seen[gathered.column("slot").to_numpy()] = gathered.column("times").to_numpy()
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column(2))):
+            for rows, bodies in by_size(range(batch.num_rows), (zlib.decompress(x.as_py()) for x in batch.column("z"))):
                 first, words = word_digests(bodies, families=1)
-                starts, kmers = labelled_kmers(first, words[0], 1)
-                at = np.repeat(np.array(rows), np.diff(starts))
-                node, n = (batch.column(c).to_numpy(zero_copy_only=False)[at] for c in range(2))
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(kmers.view(np.int64))], names=["node", "n", "word"])
-
-    asked = texts.join(buckets.select("node", "n").distinct(), "node").select("node", "n", "z")
-    words = scratch.keep(asked.mapInArrow(tidy(cut), "node long, n long, word long"), "words")
-    common = scratch.keep(words.groupBy("word").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "common")
-    shared = scratch.keep(words.join(common, "word"), "shared")
-    scratch.drop("words")
-    needed = F.ceil(F.col("n") * similarity - 1e-9)
-    enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n_shared"), F.max("n").alias("n")).where(F.col("n_shared") >= needed)
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "word"))
-    rarest = scratch.keep(
-        shared.join(enough.select("node", "n_shared"), "node")
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= F.col("n_shared") - needed + 1)
-        .select("word", "node", (F.col("n_shared") - F.col("rank") + 1).alias("room"), F.col("n_shared").alias("pick")),
-        "rarest",
+                text, word, room, shared = rare_words(first, words[0], seen, similarity)
+                own = batch.select(["node", "n", "keys"]).take(pa.array(np.array(rows, np.int64)[text]))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(word.view(np.int64)), pa.array(room), pa.array(shared)], names=["node", "n", "keys", "word", "room", "pick"]
+                )
+
+    rarest = large.select("node", "n", "keys", "z").mapInArrow(tidy(cut), "node long, n long, keys array<long>, word long, room long, pick long")
+    return scratch.keep(
+        rarest.withColumn("key", F.explode("keys")).select(F.xxhash64("key", "word").alias("key"), "node", "n", "room", "pick"), "split"
     )
-    return scratch.keep(rarest.join(buckets, "node").select(F.xxhash64("key", "word").alias("key"), "node", "n", "room", "pick"), "split")
 
 
 def _classes(rows, nodes, found, scratch, id_col) -> DataFrame:

@@ -194,6 +194,34 @@ def test_bitmaps_pass_every_pair_that_aligns_once():
     assert near and near <= found.keys() and len(found) < 0.8 * len(candidates)
 
 
+@pytest.mark.parametrize("slots", [7, 1 << 18])
+def test_rare_words_are_shared_by_texts_that_align(monkeypatch, slots):
+    """Texts that align share a listed word, and at the first one both have room for the words they must share."""
+    monkeypatch.setattr(order_minhash, "SLOTS", slots)
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(500)]
+    base = [rng.choice(vocabulary) for _ in range(120)]
+    texts = [edited(rng, base, rng.uniform(0, 0.2), vocabulary) for _ in range(50)] + [[rng.choice(vocabulary) for _ in range(120)] for _ in range(10)]
+    texts += [[f"own{i}" for i in range(40)], ["a"], ["a", "a"]]
+    first, words = word_digests([" ".join(t).encode() for t in texts], families=1)
+    n = np.diff(first)
+    seen = np.bincount(order_minhash.slots(order_minhash.labelled_kmers(first, words[0], 1)[1]), minlength=slots)
+    listed = defaultdict(dict)
+    for text, word, room, _ in zip(*(x.tolist() for x in order_minhash.rare_words(first, words[0], seen, 0.8)), strict=True):
+        listed[text][word] = room
+    digests = [words[0][a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+    aligned = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            longer = max(n[i], n[j])
+            if order_minhash.edits_within(digests[i], digests[j], int(0.2 * longer + 1e-9)) is not None:
+                aligned += 1
+                assert any(min(listed[i][w], listed[j][w]) >= 0.8 * longer - 1e-9 for w in listed[i].keys() & listed[j].keys())
+    assert aligned > 100
+    if slots > 7:
+        assert 60 not in listed and len(listed[0]) <= 0.2 * n[0] + 1
+
+
 @pytest.mark.parametrize("small,dense", [(1, 1), (32, 1), (32, 20), (32, 2048)])
 def test_near_groups(spark, monkeypatch, small, dense):
     """Copies, near copies in chains, variants too far apart, and a passage in many texts."""
