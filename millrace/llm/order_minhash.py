@@ -52,8 +52,8 @@ BLOCK = 256
 SLOTS = 1 << 18
 # Sketches are compared in turns, so that what the first ones have joined is not compared again.
 TURNS = (0, 2, SKETCHES)
-# Up to so many edits the diagonals are walked one by one, beyond that all at once.
-FEW_EDITS = 24
+# Up to so many edits the diagonals are walked one by one, beyond that the band is aligned column by column.
+FEW_EDITS = 8
 SEEDS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(BASES[0]))
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 # Lower-cased bytes: ASCII letters and digits and all bytes of other characters make up words.
@@ -108,7 +108,8 @@ def order_sketches(starts: np.ndarray, kmers: np.ndarray, sketches: int = SKETCH
 def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """Insertions, deletions and replacements that turn one sequence into the other; None if over ``most``.
 
-    Only diagonals within the band are visited: after d edits, the farthest place on each of the 2d + 1 diagonals.
+    Only diagonals within the band are visited: after d edits, the farthest place on each of the 2d + 1 diagonals; after
+    ``FEW_EDITS`` all of the band at once.
     """
     if abs(len(a) - len(b)) > most:
         return None
@@ -126,7 +127,7 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     goal = len(b) - len(a)
     reach = np.full(2 * most + 3, -2, np.int64)  # by diagonal: the farthest place in a; -2 if not reached
     middle = most + 1
-    for d in range(most + 1):
+    for d in range(min(most, FEW_EDITS) + 1):
         low, high = max(-d, -len(a)), min(d, len(b))
         k = np.arange(low, high + 1)
         if d == 0:
@@ -137,11 +138,11 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
             x[x < 0] = 0
         x = np.minimum(np.minimum(x, len(a)), len(b) - k)
         x = np.maximum(x, np.maximum(0, -k))
-        x = _slide_each(a, b, x, k) if d <= FEW_EDITS else _slide_all(a, b, x, k)
+        x = _slide_each(a, b, x, k)
         reach[low + middle : high + middle + 1] = x
         if low <= goal <= high and x[goal - low] >= len(a):
             return d
-    return None
+    return _band_by_columns(a.tolist(), b.tolist(), most) if most > FEW_EDITS else None
 
 
 def _slide_each(a, b, x, k):
@@ -158,18 +159,33 @@ def _slide_each(a, b, x, k):
     return x
 
 
-def _slide_all(a, b, x, k):
-    """All diagonals at once, as long as any goes on."""
-    going = np.arange(len(x))
-    while len(going):
-        p = x[going]
-        q = p + k[going]
-        inside = (p < len(a)) & (q < len(b))
-        going = going[inside]
-        same = a[p[inside]] == b[q[inside]]
-        going = going[same]
-        x[going] += 1
-    return x
+def _band_by_columns(a: list[int], b: list[int], most: int) -> int | None:
+    """The same by bit vectors: a column of the alignment matrix holds one bit per row within the band.
+
+    The differences between neighbouring cells are 1, 0 or -1, so two vectors hold a column (Myers; with a moving band, Hyyro). An
+    alignment that leaves its band of ``aside`` diagonals on either side of those between both ends takes more than ``most`` edits.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    gap = len(a) - len(b)
+    aside = (most - gap) // 2
+    band = (1 << (gap + 2 * aside + 1)) - 1
+    places: dict[int, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << (i + aside)
+    up, down = band >> aside << aside, 0  # one more, one less than the cell above
+    goal, edits = gap + aside, gap  # the edits on the diagonal of the last cell only grow
+    for j, y in enumerate(b):
+        same = places.get(y, 0) >> j & band
+        level = ((((same & up) + up) ^ up) | same | down) & band  # as many edits as the cell before on the diagonal
+        if not level >> goal & 1:
+            edits += 1
+            if edits > most:
+                return None
+        more, less = (down | ~(level | up)) & band, level & up  # than the cell to the left
+        level >>= 1
+        up, down = (less | ~(level | more)) & band, level & more
+    return edits
 
 
 def runs(words: np.ndarray, k: int) -> np.ndarray:
