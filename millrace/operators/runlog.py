@@ -85,11 +85,27 @@ def total_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, counts)
 
 
+# Below this every half is a double of its own, so that rounding by comparison is exact.
+EXACT_HALVES = float(2**52)
+# A row's 60-bit digest is summed in three parts of 20 bits: longs hold the sums of 2**43 rows.
+PART_BITS = 20
+
+
+def _millionths(cell: Column) -> Column:
+    """The rounded millionths of a fraction as text, halves away from zero; only huge ones need decimals, which cost far more."""
+    value = cell.cast("double") * 1_000_000
+    size = F.abs(value)
+    whole = F.floor(size)
+    rounded = whole + F.when(size - whole >= 0.5, 1).otherwise(0)
+    signed = F.when(value < 0, -rounded).otherwise(rounded).cast("string")
+    return F.when(size < EXACT_HALVES, signed).otherwise(F.round(value).cast("decimal(38,0)").cast("string"))
+
+
 def _cell_text(df: DataFrame, name: str) -> Column:
     """A cell as a text that any engine can form: fractions as millionths, times as ISO text, a missing cell unlike any other."""
     kind, cell = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(kind, FractionalType):
-        text = F.round(cell.cast("double") * 1_000_000).cast("decimal(38,0)").cast("string")
+        text = _millionths(cell)
     elif isinstance(kind, (TimestampType, TimestampNTZType)):
         text = F.date_format(cell, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif isinstance(kind, (IntegralType, BooleanType, DateType, StringType)):
@@ -105,10 +121,11 @@ def content_digest(df: DataFrame, table: str) -> DataFrame:
     One aggregate over the table; tables of the same rows, repeated ones included, have the same digest.
     """
     row = F.md5(F.concat_ws("\x1f", *[_cell_text(df, c) for c in sorted(df.columns)]))
-    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).cast("decimal(38,0)").cast("string").alias("content_digest")).select(
-        F.lit(table).alias("table_name"), "row_count", "content_digest"
-    )
+    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("bigint")
+    parts = [F.shiftright(number, i * PART_BITS).bitwiseAND(F.lit((1 << PART_BITS) - 1)) for i in range(3)]
+    sums = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.coalesce(F.sum(n), F.lit(0)).cast("decimal(20,0)").alias(f"part_{i}") for i, n in enumerate(parts)])
+    digest = functools.reduce(Column.__add__, [F.col(f"part_{i}") * F.lit(1 << i * PART_BITS).cast("decimal(13,0)") for i in range(3)])
+    return sums.select(F.lit(table).alias("table_name"), "row_count", digest.cast("decimal(38,0)").cast("string").alias("content_digest"))
 
 
 def load_check(tables: Mapping[str, DataFrame]) -> DataFrame:
