@@ -371,3 +371,18 @@ def test_report_without_failures(spark):
         "Success Rate: 100.00%",
         "All expectations passed!",
     ]
+
+
+def test_contributions_shuffles_the_team_once_per_join(spark):
+    """Work and closed issues meet in one summary, so that the wide team rows are not shuffled for each."""
+    people = "member_id string, " + ", ".join(f"{c} string" for c in analyses.MEMBER_COLUMNS)
+    members = spark.createDataFrame([("m1", *["a"] * 6), ("m2", *["b"] * 6), ("m3", *[None] * 6)], people)
+    projects = spark.createDataFrame([("p1", "P1", "1"), ("p2", "P2", None)], "project_id string, project_name string, jira_project_id string")
+    team = spark.createDataFrame([("p1", "m1"), ("p1", "m1"), ("p1", "m2"), ("p1", "m3"), ("p2", "m1"), (None, "m1"), ("p1", None)], "project_id string, member_id string")
+    log = spark.createDataFrame([("a", "1", 2.0), ("a", "1", 3.0), (None, "1", 9.0), ("a", None, 9.0)], "worklog_author string, jira_project_id string, time_worked double")
+    issues = spark.createDataFrame([("b", "1", "Closed", 1), ("b", "1", "Open", 2), (None, None, "Closed", 3)], "issue_assignee string, jira_project_id string, status string, issue_id int")
+    found = analyses.contributions(projects, team, members, log, issues)
+    rows = sorted((r["project_name"], r["member_email"] or "", r["total_hours_worked"], r["issues_resolved"]) for r in found.collect())
+    assert rows == [("P1", "", 0.0, 0), ("P1", "a", 5.0, 0), ("P1", "a", 5.0, 0), ("P1", "b", 0.0, 1), ("P2", "a", 0.0, 0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and plan.count("Join FullOuter") == 1
