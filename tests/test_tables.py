@@ -174,3 +174,14 @@ def test_a_run_done_twice_leaves_one_record(spark, store):
         assert sorted(map(repr, store.read("monitoring", table).collect())) == sorted(map(repr, found))
     runs.record(store, outcomes[:1], catalogue.DELIVERY)
     assert store.read("monitoring", runs.LOGS).count() == 3
+
+
+def test_refresh_compares_and_checks_keys_in_one_pass(spark, store, monkeypatch):
+    """The rows of a merge were shuffled by key for the duplicate check and again for the comparison."""
+    view = spark.range(50).selectExpr("id AS k", "id AS v")
+    snapshots.refresh(store, "s", "v", view, ["k"])
+    monkeypatch.setattr(snapshots, "duplicate_keys", None)
+    nulls = view.union(spark.sql("SELECT cast(null AS bigint) AS k, 1L AS v UNION ALL SELECT null, 2L"))
+    assert snapshots.refresh(store, "s", "v", nulls, ["k"]) == {"keep": 50, "insert": 2}
+    with pytest.raises(snapshots.DuplicateKeys):
+        snapshots.refresh(store, "s", "v", nulls.union(view.where("k = 3")), ["k"])
